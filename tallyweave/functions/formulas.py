@@ -54,3 +54,8 @@ def hash_order(key: Column, seed: int) -> Column:
 def ratio(a: Column, b: Column, otherwise: float | None = None) -> Column:
     """``a / b``; ``otherwise`` where ``b`` is zero."""
     return F.when(b != 0, a / b).otherwise(F.lit(otherwise).cast("double"))
+
+
+def bind(value: str, name: str, body: str) -> str:
+    """Evaluate ``value`` once and use it as ``name`` in ``body``, which would repeat it many times."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"

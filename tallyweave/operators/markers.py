@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.formulas import ratio, two_sided_normal, upper_f
+from ..functions.formulas import bind, ratio, two_sided_normal, upper_f
 from .qc import downsample_per_label
-from .scale import join_hot, lookup_join, quantiles, require, running
+from .scale import join_hot, lookup_join, materialise, quantiles, require, running
 
 BLOCKS_PER_UNIT = 32.0
 """Blocks of the value axis per unit of log-normalised expression."""
@@ -336,7 +336,7 @@ def trend_genes(expr: DataFrame, cells: DataFrame, pseudotime: str, by: str | No
 
     The negative-binomial likelihood ratio is replaced by least squares on normalised log values.  The
     cross-products of the basis are shared by all genes of a group, so one aggregate over the stored values
-    gives every gene its sums, and a triangular solve written as columns gives the fit.
+    gives every gene its sums, and one 4 x 4 solve per group gives the fit.
     """
     keys = [by] if by else []
     basis = spline_basis(cells, pseudotime, by)
@@ -346,34 +346,44 @@ def trend_genes(expr: DataFrame, cells: DataFrame, pseudotime: str, by: str | No
         *[F.sum(c).alias(f"m0{i}") for i, c in enumerate(b, 1)],
         *[F.sum(F.col(b[i - 1]) * F.col(b[j - 1])).alias(f"m{i}{j}") for i in (1, 2, 3) for j in range(i, 4)],
     )
-    # Cholesky factor of the 4 x 4 matrix, column by column
-    for i in range(4):
-        pivot = F.col(f"m{i}{i}") - sum([F.col(f"l{i}{k}") * F.col(f"l{i}{k}") for k in range(i)], F.lit(0.0))
-        gram = gram.withColumn(f"l{i}{i}", F.sqrt(pivot))
-        for j in range(i + 1, 4):
-            inner = F.col(f"m{i}{j}") - sum([F.col(f"l{j}{k}") * F.col(f"l{i}{k}") for k in range(i)], F.lit(0.0))
-            gram = gram.withColumn(f"l{j}{i}", inner / F.col(f"l{i}{i}"))
+    kinds = [f"{c} {gram.schema[c].dataType.simpleString()}" for c in keys]
+
+    def invert(frames):
+        """Inverse of the lower Cholesky factor of each group's 4 x 4 cross-products."""
+        import numpy as np
+
+        for pdf in frames:
+            full = np.zeros((len(pdf), 4, 4))
+            for i in range(4):
+                for j in range(i, 4):
+                    full[:, i, j] = full[:, j, i] = pdf[f"m{i}{j}"]
+            rows = pdf[[*keys, "m00"]].copy()
+            inverse = np.linalg.inv(np.linalg.cholesky(full)) if len(pdf) else full
+            for i in range(4):
+                for j in range(i + 1):
+                    rows[f"l{i}{j}"] = inverse[:, i, j]
+            yield rows
+
     lower = [f"l{i}{j}" for i in range(4) for j in range(i + 1)]
-    gram = gram.select(*keys, "m00", *lower)
+    solved = gram.where(F.col("m00") > 4).mapInPandas(invert, ", ".join([*kinds, "m00 double", *[f"{c} double" for c in lower]]))
     x = F.col("x")
     sums = expr.select("cell_id", "gene_id", "x").join(basis, "cell_id").groupBy(*keys, "gene_id").agg(
         F.sum(x * x).alias("yy"), F.sum(x).alias("s0"), *[F.sum(x * F.col(c)).alias(f"s{i}") for i, c in enumerate(b, 1)]
     )
     if by:
-        sums = lookup_join(sums, gram, keys, "inner")
+        sums = lookup_join(sums, solved, keys, "inner")
     else:
-        row = gram.agg(F.struct(*[F.max(c).alias(c) for c in ["m00", *lower]]).alias("g")).scalar()
+        row = solved.agg(F.struct(*[F.max(c).alias(c) for c in ["m00", *lower]]).alias("g")).scalar()
         sums = sums.withColumn("_g", row).select("*", "_g.*").drop("_g")
     for i in range(4):
-        inner = F.col(f"s{i}") - sum([F.col(f"l{i}{k}") * F.col(f"w{k}") for k in range(i)], F.lit(0.0))
-        sums = sums.withColumn(f"w{i}", inner / F.col(f"l{i}{i}"))
+        sums = sums.withColumn(f"w{i}", sum([F.col(f"l{i}{j}") * F.col(f"s{j}") for j in range(i + 1)], F.lit(0.0)))
     rss0 = F.col("yy") - F.col("w0") * F.col("w0")
     gain = F.col("w1") * F.col("w1") + F.col("w2") * F.col("w2") + F.col("w3") * F.col("w3")
     out = sums.select(
         *keys, "gene_id", "m00", (gain / 3.0).alias("_num"), (rss0 - gain).alias("_rss1")
     ).withColumn("f", ratio(F.col("_num") * (F.col("m00") - 4), F.greatest("_rss1", F.lit(0.0))))
-    out = out.withColumn("p", F.expr(upper_f("f", "3e0", "m00 - 4e0"))).select(*keys, "gene_id", "f", "p")
-    return bh_adjust(out, "p", by)
+    out = out.withColumn("p", F.expr(bind("f", "v", upper_f("v", "3e0", "m00 - 4e0")))).select(*keys, "gene_id", "f", "p")
+    return bh_adjust(materialise(out), "p", by)
 
 
 def select_trend_genes(trends: DataFrame, trends_by: DataFrame, by: str, top: int = 100) -> DataFrame:
