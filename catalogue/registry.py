@@ -1,6 +1,6 @@
 """Importing this module fills the registry."""
 
-from . import markers, profile, qc, series  # noqa: F401
+from . import markers, neighbors, profile, qc, series  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
