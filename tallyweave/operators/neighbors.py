@@ -10,7 +10,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .scale import join_hot, materialise, require
+from .scale import any_hot, join_hot, materialise, require
 
 MAX_PIVOTS = 2048
 """Largest number of pivots; their distance matrix is the only search structure held by the driver."""
@@ -59,7 +59,7 @@ def knn(
     else:
         out = _spread_to_copies(points, distinct, materialise(reps), k)
     dist = F.col("dist") if metric == "euclidean" else F.col("dist") * F.col("dist") / 2
-    return out.select("cell_id", "nbr_id", "rank", dist.alias("dist"))
+    return materialise(out.select("cell_id", "nbr_id", "rank", dist.alias("dist")))
 
 
 def _search(reps: DataFrame, n: int, k: int, probe, tile_rows: int) -> DataFrame:
@@ -223,8 +223,8 @@ def snn(knn_table: DataFrame, k: int = 10, prune: float = 1 / 15, hub_rows: int
     need = max(1, math.ceil(2 * k * prune / (1 + prune) - 1e-12))
     near = knn_table.where(F.col("rank") <= k - 1).select("cell_id", "nbr_id")
     near = near.unionByName(near.select("cell_id", F.col("cell_id").alias("nbr_id")).distinct())
-    degree = near.groupBy("nbr_id").agg(F.count(F.lit(1)).alias("deg"))
-    marked = join_hot(near, degree.withColumn("_rows", F.col("deg")), ["nbr_id"], "_rows")
+    degree = materialise(near.groupBy("nbr_id").agg(F.count(F.lit(1)).alias("deg")))
+    marked = join_hot(near, degree.withColumn("_rows", F.col("deg")), ["nbr_id"], "_rows", hot=any_hot(degree, "deg"))
     sets = marked.groupBy("cell_id").agg(F.array_sort(F.collect_list(F.struct("deg", "nbr_id"))).alias("s"))  # k entries
     sets = sets.select("cell_id", F.col("s.nbr_id").alias("ids"), F.col("s.deg").alias("degs"))
     rare = F.slice(F.arrays_zip("ids", "degs"), F.lit(1), F.greatest(F.size("ids") - (need - 1), F.lit(1)))
@@ -252,8 +252,9 @@ def _both_ends(knn_table: DataFrame, per_cell: DataFrame) -> DataFrame:
     cols = [c for c in per_cell.columns if c != "cell_id"]
     mine = per_cell.select("cell_id", *[F.col(c).alias(f"a_{c}") for c in cols])
     theirs = per_cell.select(F.col("cell_id").alias("nbr_id"), *[F.col(c).alias(f"b_{c}") for c in cols])
-    indegree = knn_table.groupBy("nbr_id").agg(F.count(F.lit(1)).alias("_rows"))
-    return join_hot(knn_table.join(mine, "cell_id"), theirs.join(indegree, "nbr_id"), ["nbr_id"], "_rows")
+    indegree = materialise(knn_table.groupBy("nbr_id").agg(F.count(F.lit(1)).alias("_rows")))
+    hot = any_hot(indegree, "_rows")
+    return join_hot(knn_table.join(mine, "cell_id"), theirs.join(indegree, "nbr_id"), ["nbr_id"], "_rows", hot=hot)
 
 
 def _undirected(rows: DataFrame) -> DataFrame:

@@ -55,19 +55,24 @@ def join_hot(
     keys: Sequence[str],
     rows: str,
     how: str = "inner",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
+    hot: bool = True,
 ) -> DataFrame:
     """Join ``facts`` to a table with one row per key whose column ``rows`` counts the key's facts.
 
     Keys above ``hot_rows`` are cut into salted pieces on the fact side and repeated on the other.  The list
-    of such keys has at most |facts| / hot_rows rows, which bounds the broadcast.  ``rows`` is dropped.
+    of such keys has at most |facts| / hot_rows rows, which bounds the broadcast.  ``rows`` is dropped.  A caller
+    that has measured there is no such key (:func:`any_hot`) says ``hot=False`` and gets the plain join.
     """
     keys = list(keys)
+    hot_rows = hot_rows or HOT_ROWS
+    if not hot:
+        return facts.join(per_key.drop(rows), keys, how)
     pieces = F.ceil(F.col(rows) / F.lit(float(hot_rows))).cast("int")
-    hot = per_key.where(F.col(rows) > hot_rows).select(*keys, pieces.alias("_pieces"))
+    heavy = per_key.where(F.col(rows) > hot_rows).select(*keys, pieces.alias("_pieces"))
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.col("_pieces")).cast("int")
     left = (
-        facts.join(F.broadcast(hot), keys, "left")
+        facts.join(F.broadcast(heavy), keys, "left")
         .withColumn("_salt", F.coalesce(spread, F.lit(0)))
         .drop("_pieces")
     )
@@ -77,6 +82,11 @@ def join_hot(
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+def any_hot(per_key: DataFrame, rows: str) -> bool:
+    """Whether some key of a written table has more than HOT_ROWS facts."""
+    return (per_key.agg(F.max(rows)).first()[0] or 0) > HOT_ROWS
+
+
 def lookup_join(facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join to a lookup table: broadcast when it was counted to be small, salted otherwise."""
     keys = list(keys)
