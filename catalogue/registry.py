@@ -1,6 +1,6 @@
 """Importing this module fills the registry."""
 
-from . import graph, markers, neighbors, profile, qc, series  # noqa: F401
+from . import combat, graph, learn, markers, neighbors, profile, qc, series, sources  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

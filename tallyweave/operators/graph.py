@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.formulas import ratio
-from .scale import any_hot, join_hot, lookup_join, materialise, require
+from .scale import LOOKUP_ROWS, any_hot, join_hot, lookup_join, materialise, require
 
 
 def symmetric(edges: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def _level(edges: DataFrame, labels: DataFrame):
     return sym, state, float(state.agg(F.sum("k")).first()[0] or 0.0), hot
 
 
-def _best_moves(sym: DataFrame, state: DataFrame, resolution: float, two_m: float, hot: bool) -> DataFrame:
+def _best_moves(sym: DataFrame, state: DataFrame, resolution: float, two_m: float, hot: bool, groups: int | None = None) -> DataFrame:
     """(node, comm, best, k, loop, _rows, inner): each node's best neighbouring community.
 
     ``inner`` is the node's weight into its own community.  Gains are compared to ten digits so that equal ones
@@ -58,7 +58,9 @@ def _best_moves(sym: DataFrame, state: DataFrame, resolution: float, two_m: floa
         F.sum("w").alias("w"), F.max("k").alias("k"), F.max("loop").alias("loop"), F.max("_rows").alias("_rows"), F.max("own").alias("own")
     )
     totals = state.groupBy(F.col("comm").alias("to")).agg(F.sum("k").alias("tot"))
-    links = lookup_join(links, totals, ["to"], "inner")
+    # the caller may know the number of communities from the round before
+    small = groups is not None and groups <= LOOKUP_ROWS
+    links = links.join(F.broadcast(totals), "to") if small else lookup_join(links, totals, ["to"], "inner")
     rest = F.col("tot") - F.when(F.col("own"), F.col("k")).otherwise(0.0)
     links = links.withColumn("gain", F.round((F.col("w") - resolution * F.col("k") * rest / two_m) / two_m, 10))
     at_home = lambda c: F.max(F.when(F.col("own"), F.col(c)))
@@ -120,17 +122,22 @@ def louvain(edges: DataFrame, resolution: float = 1.0, rounds: int = 8, levels:
         sym, state, two_m, hot = _level(graph, singles)
         if two_m == 0:
             return final
-        best, best_q, quiet = None, reached, 0
+        best, best_q, quiet, groups = None, reached, 0, None
         for turn in range(rounds + 1):
-            moved = materialise(_best_moves(sym, state, resolution, two_m, hot).withColumn("next", _turn(turn)))
-            inner, changed = moved.agg(F.sum(F.col("inner") + F.col("loop")), F.count_if(F.col("next") != F.col("comm"))).first()
-            tots = moved.groupBy("comm").agg(F.sum("k").alias("t")).agg(F.sum(F.col("t") * F.col("t"))).first()[0]
-            q = inner / two_m - resolution * tots / two_m**2
+            moved = materialise(_best_moves(sym, state, resolution, two_m, hot, groups).withColumn("next", _turn(turn)))
+            inner, changed, squares, groups = (
+                moved.groupBy("comm")
+                .agg(F.sum("k").alias("t"), F.sum(F.col("inner") + F.col("loop")).alias("i"), F.count_if(F.col("next") != F.col("comm")).alias("c"))
+                .agg(F.sum("i"), F.sum("c"), F.sum(F.col("t") * F.col("t")), F.count(F.lit(1)))
+                .first()
+            )
+            q = inner / two_m - resolution * squares / two_m**2
+            gained = best_q is not None and q > best_q + 1e-6
             if best_q is None:
                 best_q = q
-            elif q > best_q + 1e-9:
+            elif q > best_q:
                 best, best_q = moved, q
-            quiet = 0 if changed else quiet + 1
+            quiet = 0 if changed and (gained or turn < 2) else quiet + 1
             if quiet == 2:
                 break
             state = moved.select("node", F.col("next").alias("comm"), "k", "loop", "_rows")
