@@ -215,13 +215,13 @@ def _(t):
     return rounded(learn.adjusted_rand_index(_pair(t), "truth", "pred"), 9, "ari")
 
 
-@query("adjusted_mutual_info", f"""WITH {PAIR}, t AS (SELECT truth, pred, CAST(count(*) AS DOUBLE) AS n FROM pair GROUP BY 1, 2), nn AS (SELECT sum(n) AS N FROM t),
+@query("adjusted_mutual_info", f"""WITH {PAIR}, t AS (SELECT truth, pred, CAST(count(*) AS DOUBLE) AS n FROM pair GROUP BY 1, 2), nn AS (SELECT sum(n) AS big FROM t),
 a AS (SELECT truth, sum(n) AS na FROM t GROUP BY 1), b AS (SELECT pred, sum(n) AS nb FROM t GROUP BY 1),
-mi AS (SELECT sum(n / N * ln(N * n / (na * nb))) AS mi FROM t JOIN a USING (truth) JOIN b USING (pred), nn),
-h AS (SELECT greatest((SELECT -sum(na / N * ln(na / N)) FROM a, nn), (SELECT -sum(nb / N * ln(nb / N)) FROM b, nn)) AS h),
-e AS (SELECT sum(m / N * ln(N * m / (na * nb)) * exp(lgamma(na + 1) + lgamma(nb + 1) + lgamma(N - na + 1) + lgamma(N - nb + 1) - lgamma(N + 1) - lgamma(m + 1)
-  - lgamma(na - m + 1) - lgamma(nb - m + 1) - lgamma(N - na - nb + m + 1))) AS e FROM
-  (SELECT na, nb, N, CAST(unnest(range(CAST(greatest(1, na + nb - N) AS BIGINT), CAST(least(na, nb) AS BIGINT) + 1)) AS DOUBLE) AS m FROM a, b, nn))
+mi AS (SELECT sum(n / big * ln(big * n / (na * nb))) AS mi FROM t JOIN a USING (truth) JOIN b USING (pred), nn),
+h AS (SELECT greatest((SELECT -sum(na / big * ln(na / big)) FROM a, nn), (SELECT -sum(nb / big * ln(nb / big)) FROM b, nn)) AS h),
+e AS (SELECT sum(m / big * ln(big * m / (na * nb)) * exp(lgamma(na + 1) + lgamma(nb + 1) + lgamma(big - na + 1) + lgamma(big - nb + 1) - lgamma(big + 1) - lgamma(m + 1)
+  - lgamma(na - m + 1) - lgamma(nb - m + 1) - lgamma(big - na - nb + m + 1))) AS e FROM
+  (SELECT na, nb, big, CAST(unnest(range(CAST(greatest(1, na + nb - big) AS BIGINT), CAST(least(na, nb) AS BIGINT) + 1)) AS DOUBLE) AS m FROM a, b, nn))
 SELECT round(mi, 9) AS mi, round((mi - e) / (h - e), 8) + 0e0 AS ami FROM mi, h, e""")
 def _(t):
     return rounded(rounded(learn.adjusted_mutual_info(_pair(t), "truth", "pred"), 9, "mi"), 8, "ami")

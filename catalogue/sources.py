@@ -26,21 +26,15 @@ def _(t):
     # one sample folder per batch, written from the tables, then all folders read in one plan
     root, samples = scratch(t), []
     genes = t.genes.withColumn("i", F.col("gene_id") + 1)
-    listed = genes.orderBy("i").select(F.concat_ws("\t", F.col("gene_id").cast("string"), "symbol").alias("value")).coalesce(1)
+    listed = genes.orderBy("i").select(F.concat_ws("\t", F.col("gene_id").cast("string"), "symbol").alias("value"))
     counts = t.counts.join(t.cells.select("cell_id", "batch"), "cell_id")
     for batch in ("F", "O", "P"):
         mine = counts.where(F.col("batch") == batch)
         placed = global_position(mine.select("cell_id").distinct(), ["cell_id"], "j")
         folder = f"{root}/{batch}"
-        files.write_mtx(mine.join(placed, "cell_id").select((F.col("gene_id") + 1).alias("i"), "j", F.col("n").alias("v")), f"{folder}/parts")
-        whole = t.spark.read.text([f"{folder}/parts/header", f"{folder}/parts/entries"])
-        head = whole.where("value like '%MatrixMarket%'").limit(1)
-        size = t.spark.read.text(f"{folder}/parts/header").where("value not like '%MatrixMarket%'")
-        body = t.spark.read.text(f"{folder}/parts/entries")
-        ordered = head.withColumn("o", F.lit(0)).unionByName(size.withColumn("o", F.lit(1))).unionByName(body.withColumn("o", F.lit(2)))
-        ordered.coalesce(1).sortWithinPartitions("o").select("value").write.text(f"{folder}/matrix.mtx")
-        barcode = F.concat(F.col("cell_id").cast("string"), F.lit("-1")).alias("value")
-        placed.orderBy("j").select(barcode).coalesce(1).write.text(f"{folder}/barcodes.tsv")
+        entries = mine.join(placed, "cell_id").select((F.col("gene_id") + 1).alias("i"), "j", F.col("n").alias("v"))
+        files.write_mtx(entries, f"{folder}/matrix.mtx")
+        placed.orderBy("j").select(F.concat(F.col("cell_id").cast("string"), F.lit("-1")).alias("value")).write.text(f"{folder}/barcodes.tsv")
         listed.write.text(f"{folder}/genes.tsv")
         samples.append((folder, f"S__{batch}"))
     return files.read_10x(t.spark, samples)[0]
@@ -163,7 +157,8 @@ def _(t):
     path = scratch(t)
     genes = qc.selected_genes(qc.variable_genes_mvp(t.expr, t.cells))
     files.export_gene_bundles(t.expr, t.cells.select("cell_id", "label"), genes, 50, path)
-    return rounded(t.spark.read.parquet(path), 6, "x")
+    kinds = "cell_id long, gene_id long, x double, label string, bundle int"
+    return rounded(t.spark.read.schema(kinds).parquet(path), 6, "x")
 
 
 @query("gene_family_table", f"""WITH {TOP}, {GENES}, f AS (SELECT cluster AS family, gene FROM top UNION ALL SELECT 'ALL', gene_id FROM genes)

@@ -53,8 +53,7 @@ def feature_matrix(expr: DataFrame, cells: DataFrame, genes: DataFrame) -> tuple
     index = feature_index(genes)
     spark = expr.sparkSession
     kind = expr.schema["gene_id"].dataType
-    table = spark.createDataFrame([(g, i) for g, i in index.items()], ["gene_id", "_i"])
-    table = F.broadcast(table.withColumn("gene_id", F.col("gene_id").cast(kind)))  # at most MAX_FEATURES rows
+    table = F.broadcast(spark.createDataFrame(list(index.items()), f"gene_id {kind.simpleString()}, _i int"))  # at most MAX_FEATURES rows
     stored = expr.join(table, "gene_id").groupBy("cell_id").agg(F.collect_list("_i").alias("at"), F.collect_list("x").alias("to"))
     full = cells.select("cell_id").join(stored, "cell_id", "left")
     width = len(index)
@@ -322,7 +321,8 @@ def adjusted_mutual_info(cells: DataFrame, a: str, b: str) -> DataFrame:
     chunks = chunks.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("high") - F.col("low")) / CHUNK))))
     first = F.col("low") + F.col("c") * CHUNK
     chunks = chunks.repartition(F.col("na"), F.col("nb"), F.col("c"))
-    rows = chunks.select("na", "nb", "ka", "kb", F.explode(F.sequence(first, F.least(first + (CHUNK - 1), F.col("high")))).cast("double").alias("m"))
+    rows = chunks.select("na", "nb", "ka", "kb", F.explode(F.sequence(first, F.least(first + (CHUNK - 1), F.col("high")))).alias("m"))
+    rows = rows.withColumn("m", F.col("m").cast("double"))
     f = log_factorial
     weight = (
         f(F.col("na")) + f(F.col("nb")) + f(n - F.col("na")) + f(n - F.col("nb")) - f(n) - f(F.col("m"))

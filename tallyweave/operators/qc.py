@@ -162,10 +162,8 @@ def scale_clip(expr: DataFrame, cells: DataFrame, genes: DataFrame, top: float =
     """
     index = feature_index(genes)
     spark = expr.sparkSession
-    if not index:
-        raise ValueError("no genes chosen")
-    chosen = spark.createDataFrame([(g, i) for g, i in index.items()], ["gene_id", "_i"])
-    chosen = chosen.withColumn("gene_id", F.col("gene_id").cast(expr.schema["gene_id"].dataType))
+    gene_kind = expr.schema["gene_id"].dataType.simpleString()
+    chosen = spark.createDataFrame(list(index.items()), f"gene_id {gene_kind}, _i int")
     picked = expr.join(F.broadcast(chosen), "gene_id").select("cell_id", "gene_id", "_i", "x")  # <= MAX_FEATURES rows
     m = gene_moments(picked, cells).select("gene_id", "mean", F.sqrt("var").alias("sd"))
     m = chosen.join(m, "gene_id", "left").select("_i", "mean", "sd").collect()  # <= MAX_FEATURES rows

@@ -86,16 +86,25 @@ def write_mtx(df: DataFrame, path: str, shape: tuple[int, int] | None = None, sy
 
 
 def _folder_of(file: Column) -> Column:
-    return F.regexp_replace(F.regexp_extract(file, r"^(.*)/[^/]+/?$", 1), r"^[a-z0-9]+:/+", "/")
+    """The sample folder of one of its files; a listed file may itself be a folder of parts."""
+    top = F.regexp_extract(file, r"^(.*?)/(?:matrix\.mtx|barcodes\.tsv|genes\.tsv)(?:/.*)?$", 1)
+    return F.regexp_replace(top, r"^[a-z0-9]+:/+", "/")
 
 
 def _numbered(spark: SparkSession, paths: list[str], column: int) -> DataFrame:
-    """(folder, at, name): a field of every line with its line number; one list file per sample."""
-    w = Window.partitionBy("file").orderBy("start", "id")
-    lines = _lines(spark, paths).withColumn("at", F.row_number().over(w))
+    """(folder, at, name): a field of every line with its line number in the sample's file.
+
+    Lines are numbered inside each file split, and the splits' line counts carry the offsets.
+    """
     field = F.split("value", "\t")
     name = F.coalesce(F.try_element_at(field, F.lit(column + 1)), field[0])
-    return lines.select(_folder_of(F.col("file")).alias("folder"), F.col("at").cast("long"), name.alias("name"))
+    lines = _lines(spark, paths).withColumn("folder", _folder_of(F.col("file")))
+    inside = F.row_number().over(Window.partitionBy("folder", "file", "start").orderBy("id"))
+    before = Window.partitionBy("folder").orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = lines.groupBy("folder", "file", "start").agg(F.count(F.lit(1)).alias("_n"))  # one row per split
+    offsets = sizes.select("folder", "file", "start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = lines.withColumn("_in", inside).join(offsets, ["folder", "file", "start"])
+    return numbered.select("folder", (F.col("_before") + F.col("_in")).alias("at"), name.alias("name"))
 
 
 def read_10x(spark: SparkSession, samples: list[tuple[str, str]]) -> tuple[DataFrame, DataFrame]:
@@ -117,7 +126,8 @@ def read_10x(spark: SparkSession, samples: list[tuple[str, str]]) -> tuple[DataF
         else:
             raise FileNotFoundError(path)
     files = lambda name: [f"{p}/{name}" for p, _ in found]
-    entries, _ = _matrix_lines(spark, files("matrix.mtx"))
+    matrices = [part for m in files("matrix.mtx") for part in ([f"{m}/header", f"{m}/entries"] if _is_folder(spark, m) else [m])]
+    entries, _ = _matrix_lines(spark, matrices)
     entries = entries.withColumn("folder", _folder_of(F.col("file")))
     table = spark.createDataFrame([(p, x) for p, x in found], "path string, prefix string")
     at_root = F.regexp_replace("path", r"^[a-z0-9]+:/+", "/")
