@@ -57,17 +57,20 @@ def _(t):
 
 
 def _rows(t):
-    return t.emb.withColumnRenamed("vec", "features").join(t.emb_cells.select("cell_id", "label"), "cell_id")
+    """Vectors labelled by the largest of their first four coordinates, which a classifier can learn."""
+    first = F.slice("vec", 1, 4)
+    largest = F.array_position(first, F.array_max(first)).cast("string")
+    return t.emb.select("cell_id", F.col("vec").alias("features"), F.concat(F.lit("k"), largest).alias("label"))
 
 
 @query("train_cell_classifier")
 def _(t):
-    return learn.train_classifier(_rows(t), folds=2, gamma=0.05)[1]
+    return learn.train_classifier(_rows(t), folds=2, gamma=0.5)[1]
 
 
 @query("apply_classifier")
 def _(t):
-    model, _ = learn.train_classifier(_rows(t), folds=2, gamma=0.05, size=64)
+    model, _ = learn.train_classifier(_rows(t), folds=2, gamma=0.5, size=64)
     folder = f"{scratch_dir(t.spark)}/models-{uuid.uuid4().hex}"
     model.save(f"{folder}/cells")
     return learn.apply_classifier(_rows(t).drop("label"), folder, "cells", "predicted")

@@ -364,9 +364,10 @@ def diffusion_pseudotime(emb: DataFrame, eigenvalues: DataFrame, cells: DataFram
     """
     first = cells.where(F.col(label) == root).agg(F.min("cell_id").alias("cell_id"))
     origin = emb.join(first, "cell_id", "left_semi").select("vec").scalar()
-    lam = eigenvalues.agg(F.array_sort(F.collect_list(F.struct("idx", "eigenvalue"))).alias("l")).scalar()
-    weight = lambda l: F.when(l < 0.9994, l / (1 - l)).otherwise(1.0)  # noqa: E731, E741
-    rows = emb.withColumns({"_o": origin, "_l": F.transform(lam, lambda s: weight(s["eigenvalue"]))})
+    lam = F.col("eigenvalue")
+    weight = F.when(lam < 0.9994, lam / (1 - lam)).otherwise(1.0)
+    listed = eigenvalues.select("idx", weight.alias("w")).agg(F.array_sort(F.collect_list(F.struct("idx", "w")))["w"].alias("l")).scalar()
+    rows = emb.withColumns({"_o": origin, "_l": listed})
     steps = F.zip_with(F.zip_with("vec", "_o", lambda a, b: a - b), F.col("_l"), lambda d, w: d * w)
     dist = F.sqrt(F.aggregate(steps, F.lit(0.0), lambda a, s: a + s * s))
     rows = materialise(rows.select("cell_id", dist.alias("d")))
