@@ -217,3 +217,34 @@ def test_sample_folder_of_plain_files(spark, tmp_path):
     assert len(got) == 6 and genes.count() == 2
     with pytest.raises(FileNotFoundError):
         files.read_10x(spark, [(str(tmp_path / "none"), "x")])
+
+
+def test_compare_datasets_plan(tables):
+    from tallyweave.plans import analyses
+
+    split = {}
+    for name, where in (("q", "batch = 'F'"), ("r", "batch <> 'F'")):
+        cells = tables.cells.where(where)
+        split[name] = (tables.counts.join(cells.select("cell_id"), "cell_id", "left_semi"), cells)
+    out = analyses.compare_datasets(split["q"], split["r"], "label", cap=200)
+    assert set(out) == {"query_profile", "reference_profile", "correlation"}
+
+
+def test_marker_plans_have_no_cartesian_product(tables):
+    from tallyweave.operators import markers
+
+    plans = [
+        qc.log_normalise(tables.counts),
+        qc.filter_cells_genes(tables.counts, 3, 2),
+        qc.variable_genes_mvp(tables.expr, tables.cells),
+        markers.markers_one_vs_rest(tables.expr, tables.cells, "label"),
+        profile.mean_expression(tables.expr, tables.cells, "label"),
+    ]
+    for df in plans:
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_scan_reads_only_the_needed_columns(tables):
+    text = qc.cell_stats(tables.counts)._jdf.queryExecution().executedPlan().toString()
+    assert "l_extendedprice" not in text and "l_quantity" in text
