@@ -16,11 +16,10 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 HEADLINE = (
     "cell_stats gene_stats filter_cells_genes percent_pattern contingency log_normalise variable_genes_mvp "
-    "downsample_per_label mean_expression flagship_markers markers_one_vs_rest markers_pairwise population_mentions "
-    "diagonalise_genes profile_correlation label_centroid_median minmax_by order_by_pseudotime moving_average "
-    "adaptive_moving_average resample_nearest pseudotime_heatmap trend_genes bh_adjust combat_gene_stats combat_solve "
-    "combat_apply simulate_doublets doublet_cluster_test voted_labels adjusted_rand_index adjusted_mutual_info knn snn "
-    "gauss_graph paga diffusion_transition pca scale_clip"
+    "downsample_per_label mean_expression flagship_markers markers_one_vs_rest population_mentions profile_correlation "
+    "label_centroid_median order_by_pseudotime moving_average adaptive_moving_average resample_nearest trend_genes "
+    "bh_adjust combat_gene_stats combat_apply simulate_doublets doublet_cluster_test voted_labels adjusted_rand_index "
+    "adjusted_mutual_info knn snn gauss_graph paga diffusion_transition"
 ).split()
 
 

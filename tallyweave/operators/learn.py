@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.formulas import ratio
-from .qc import feature_index
+from .qc import dense_vectors, feature_index
 from .scale import join_hot, lookup_join, materialise, require
 
 
@@ -54,24 +54,10 @@ def feature_matrix(expr: DataFrame, cells: DataFrame, genes: DataFrame) -> tuple
     spark = expr.sparkSession
     kind = expr.schema["gene_id"].dataType
     table = F.broadcast(spark.createDataFrame(list(index.items()), f"gene_id {kind.simpleString()}, _i int"))  # at most MAX_FEATURES rows
-    stored = expr.join(table, "gene_id").groupBy("cell_id").agg(F.collect_list("_i").alias("at"), F.collect_list("x").alias("to"))
+    stored = expr.join(table, "gene_id").groupBy("cell_id").agg(F.collect_list("_i").alias("_at"), F.collect_list("x").alias("_to"))
     full = cells.select("cell_id").join(stored, "cell_id", "left")
-    width = len(index)
-
-    def fill(frames):
-        import numpy as np
-        import pandas as pd
-
-        for pdf in frames:
-            block = np.zeros((len(pdf), width))
-            for row, (at, to) in enumerate(zip(pdf["at"], pdf["to"])):
-                if at is not None and len(at):
-                    block[row, np.asarray(at, dtype=int)] = to
-            yield pd.DataFrame({"cell_id": pdf["cell_id"], "features": list(block)})
-
-    id_kind = expr.schema["cell_id"].dataType.simpleString()
     missing = genes.select("gene_id").distinct().join(expr.select("gene_id").distinct(), "gene_id", "left_anti")
-    return full.mapInPandas(fill, f"cell_id {id_kind}, features array<double>"), missing
+    return dense_vectors(full, [0.0] * len(index), "features"), missing
 
 
 def split_train_test(rows: DataFrame, test: float, seed: int) -> tuple[DataFrame, DataFrame]:

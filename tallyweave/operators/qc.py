@@ -178,22 +178,34 @@ def scale_clip(expr: DataFrame, cells: DataFrame, genes: DataFrame, top: float =
     per_cell = picked.join(table, "_i").groupBy("cell_id").agg(
         F.collect_list("_i").alias("_at"), F.collect_list(scaled).alias("_to")
     )
-    full = cells.select("cell_id").join(per_cell, "cell_id", "left")
+    return dense_vectors(cells.select("cell_id").join(per_cell, "cell_id", "left"), base, "vec")
+
+
+def dense_vectors(sparse: DataFrame, base: list[float], name: str) -> DataFrame:
+    """(cell_id, ``name``): copies of ``base`` with the values ``_to`` written at the places ``_at``.
+
+    The vectors are far larger than the lists they come from, so the rows are spread before they are filled, and
+    leave in slices of bounded size.
+    """
+    parts = int(sparse.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    step = max(1, (1 << 21) // max(1, len(base)))
 
     def fill(frames):
         import numpy as np
         import pandas as pd
 
-        origin = np.asarray(base)
-        for pdf in frames:
-            block = np.tile(origin, (len(pdf), 1))
-            for row, (at, to) in enumerate(zip(pdf["_at"], pdf["_to"])):
-                if at is not None and len(at):
-                    block[row, np.asarray(at, dtype=int)] = to
-            yield pd.DataFrame({"cell_id": pdf["cell_id"], "vec": list(block)})
-
-    kind = expr.schema["cell_id"].dataType.simpleString()
-    return full.mapInPandas(fill, f"cell_id {kind}, vec array<double>")
+        origin = np.asarray(base, dtype=float)
+        for whole in frames:
+            for start in range(0, len(whole), step):
+                pdf = whole.iloc[start : start + step]
+                block = np.tile(origin, (len(pdf), 1))
+                for row, (at, to) in enumerate(zip(pdf["_at"], pdf["_to"])):
+                    if at is not None and len(at):
+                        block[row, np.asarray(at, dtype=int)] = to
+                yield pd.DataFrame({"cell_id": pdf["cell_id"].to_numpy(), name: list(block)})
+
+    kind = sparse.schema["cell_id"].dataType.simpleString()
+    return sparse.repartition(parts, "cell_id").mapInPandas(fill, f"cell_id {kind}, {name} array<double>")
 
 
 def downsample_per_label(cells: DataFrame, label: str, k: int, seed: int) -> DataFrame:
