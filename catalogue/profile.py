@@ -44,11 +44,11 @@ cen AS (SELECT gene_id, sum(i * mean) / nullif(sum(mean), 0) AS centre FROM prof
 
 
 @query("diagonalise_genes", f"""WITH {DIAGONAL}
-SELECT gene_id, round(centre, 6) AS centre, row_number() OVER (ORDER BY round(centre, 9) NULLS LAST, gene_id) AS position FROM cen""")
+SELECT gene_id, round(centre, 9) AS centre, row_number() OVER (ORDER BY round(centre, 9) NULLS LAST, gene_id) AS position FROM cen""")
 def _(t):
     # the weight centre is compared to nine digits so that equal centres tie in both engines
     prof = _profile(t)
-    return rounded(profile.diagonalise_genes(prof, _label_order(t)), 6, "centre")
+    return rounded(profile.diagonalise_genes(prof, _label_order(t)), 9, "centre")
 
 
 @query("spot_table", f"""WITH {EXPR}, {CELLS}, {LISTED}, {PROFILE}, few AS (SELECT * FROM prof JOIN listed USING (gene_id))

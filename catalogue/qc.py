@@ -103,7 +103,7 @@ chosen AS (SELECT gene_id, row_number() OVER (ORDER BY gene_id) AS pos FROM hvg
 ms AS (SELECT gene_id, max(pos) AS pos, sum(x) / max(nc) AS m, sqrt((sum(x * x) - sum(x) * sum(x) / max(nc)) / (max(nc) - 1)) AS sd
   FROM expr JOIN chosen USING (gene_id), (SELECT CAST(count(*) AS DOUBLE) AS nc FROM cells) GROUP BY 1),
 base AS (SELECT gene_id, pos, m, sd, least(10, -m / sd) AS b FROM ms),
-total AS (SELECT count(*) AS k, sum(b) AS s, sum(pos * b) AS d FROM base),
+total AS (SELECT count(*) AS k, coalesce(sum(b), 0) AS s, coalesce(sum(pos * b), 0) AS d FROM base),
 extra AS (SELECT cell_id, sum(least(10, (x - m) / sd) - b) AS s, sum(pos * (least(10, (x - m) / sd) - b)) AS d
   FROM expr JOIN base USING (gene_id) GROUP BY 1)
 SELECT cell_id, k AS n_features, round(total.s + coalesce(extra.s, 0), 4) AS vec_sum, round(total.d + coalesce(extra.d, 0), 3) AS vec_dot

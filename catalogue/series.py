@@ -37,9 +37,9 @@ def adaptive_sql(source: str, out: str, kernel: int, least: int, factor: float)
   LEFT JOIN {out}_k d ON d.gene_id = a.gene_id AND d.pos = greatest(a.pos - a.h, 1) - 1)"""
 
 
-@query("adaptive_moving_average", f"WITH {EVENTS}, {adaptive_sql('ser', 'sm', 10, 10, 400.0)} SELECT gene_id, pos, round(x, 6) AS x FROM sm")
+@query("adaptive_moving_average", f"WITH {EVENTS}, {adaptive_sql('ser', 'sm', 10, 10, 400.0)} SELECT gene_id, pos, round(x, 9) AS x FROM sm")
 def _(t):
-    return rounded(series.adaptive_moving_average(_events(t), 10, 10, 400.0), 6, "x")
+    return rounded(series.adaptive_moving_average(_events(t), 10, 10, 400.0), 9, "x")
 
 
 ORDERED = f"""{EXPR}, {CELLS}, {LISTED},
