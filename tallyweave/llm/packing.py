@@ -11,6 +11,7 @@ row: the groups are as many as the data needs, and each is of bounded size.
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -121,6 +122,14 @@ def windows(sizes: np.ndarray, capacity: int = CAPACITY, slack: float = SLACK) -
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
+def json_text(*parts: str) -> list[str]:
+    return [json.dumps(p)[1:-1] for p in parts]
+
+
+#: A word of plain letters, and the signs after it, which a tokenizer of this kind takes for one pre-token each.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*#$%&]*)")
+
+
 class Words:
     """Ids of words as bytes, in one worker, for a tokenizer that drops white space and never merges across it."""
 
@@ -130,9 +139,14 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.between = next((s for s in ("<|endoftext|>", "<|startoftext|>") if self.tokenizer.token_to_id(s) is not None), None)
-        self.between_id = self.tokenizer.token_to_id(self.between) if self.between else -1
+        rules = json.loads(self.tokenizer.to_str())
+        end = rules["model"].get("end_of_word_suffix") or ""
+        self.parts_letters = bool(end) and all(x in json.dumps(rules["pre_tokenizer"]) for x in json_text(r"[\p{L}]+", r"[^\s\p{L}\p{N}]+")) and "Lowercase" in json.dumps(rules["normalizer"])
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = bool(end) and token.endswith(end)
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
 
     @classmethod
     def of(cls, path: str) -> Words:
@@ -144,20 +158,21 @@ class Words:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def fill(self, words: list[str]) -> dict[str, bytes]:
-        """Encode words, many in one call: a special token between them parts their ids."""
-        out = {}
-        joined = [w for w in words if "<|" not in w and "|>" not in w and self.between and len(w) <= 4 * LONGEST]
-        for i in range(0, len(joined), 512):
-            some = joined[i : i + 512]
-            ids = np.array(self.tokenizer.encode(self.between.join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.between_id)
-            if len(cuts) == len(some) - 1:
-                ends = [*cuts.tolist(), len(ids)]
-                begins = [0, *(cuts + 1).tolist()]
-                out.update((w, ids[b:e].tobytes()) for w, b, e in zip(some, begins, ends))
-        for w in words:
-            if w not in out:
-                out[w] = self.whole(w)
+        """Encode words. Plain ones are letters and signs, which are encoded many in one call and kept apart by the tokens
+        that end a word; if their number is not as expected, and for all other words, each is encoded for itself."""
+        split = {w: (m[1].lower(), m[2]) for w in words if self.parts_letters and (m := PLAIN.fullmatch(w))}
+        new = sorted({p for pair in split.values() for p in pair} - self.parts.keys())
+        for i in range(0, len(new), 512):
+            some = new[i : i + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) == len(some) and cuts[-1] == len(ids):
+                self.parts.update((p, ids[b:e].tobytes()) for p, b, e in zip(some, [0, *cuts], cuts))
+            else:
+                self.parts.update((p, self.whole(p)) for p in some)
+        out = {w: self.parts[split[w][0]] + self.parts[split[w][1]] if w in split else self.whole(w) for w in words}
+        if len(self.parts) > CACHED:
+            self.parts = {"": b""}
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
