@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, token_counts
+from . import mixing, packing, quality, secret_scan, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,20 @@ def count_tokens(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query("op4_secret_scan")
+def secrets(spark, folder):
+    rows = secret_scan.scan(table(spark, folder, "documents"))
+    base = F.filter("found", lambda x: x["kind"] < 3)
+    n = lambda k: F.size(F.filter("found", lambda x: x["kind"] == k)).cast("long")
+    counts = [n(k).alias(f"n_{kind}") for k, kind in enumerate(secret_scan.KINDS)]
+    return rows.select("doc_id", *counts, F.sha2(secret_scan.as_text(base), 256).alias("base_sha256"), secret_scan.as_text(F.col("found")).alias("spans"))
+
+
+@query("op5_quality_classifier")
+def quality_classifier(spark, folder):
+    return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op10_pack_windows")
 def pack_windows(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
