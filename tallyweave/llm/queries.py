@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, quality, secret_scan, token_counts
+from . import mixing, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,6 +71,16 @@ def quality_classifier(spark, folder):
     return quality.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op6_substring_dedup")
+def substring_dedup(spark, folder):
+    return suffix_trees.without_repeated_words(table(spark, folder, "documents"))
+
+
+@query("op7_suffix_array_dedup")
+def suffix_array_dedup(spark, folder):
+    return suffix_levels.without_repeated_bytes(table(spark, folder, "documents"))
+
+
 @query("op10_pack_windows")
 def pack_windows(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))

@@ -67,7 +67,7 @@ def run_hashes(values: np.ndarray, width: int, doc: np.ndarray | None = None) ->
     up, down = powers(len(values) + 1)
     run = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[:-1], out=run[1:])
-    h = mixed((run[width:] - run[:-width]) * down[:n])
+    h = mixed((run[width:] - run[:-width]) * down[:n] + np.uint64(width))
     at = np.arange(n)
     if doc is not None:
         at = at[doc[:n] == doc[width - 1 :]]
