@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import mixing, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
+from . import jaccard, mixing, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,6 +57,11 @@ def count_tokens(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+@query("op3_ngram_jaccard_join")
+def ngram_jaccard_join(spark, folder):
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
 @query("op4_secret_scan")
 def secrets(spark, folder):
     rows = secret_scan.scan(table(spark, folder, "documents"))

@@ -69,7 +69,7 @@ def paths(docs: DataFrame, spans: DataFrame, width: int) -> DataFrame:
                 rows[name] = h
             rows["doc"], rows["tag"], rows["first"] = np.asarray(block.column(1))[of], np.asarray(block.column(2))[of], first
             held.append(rows)
-            if sum(map(len, held)) >= R.HELD // 2:
+            if sum(map(len, held)) >= R.HELD:
                 yield emit()
         if held:
             yield emit()
