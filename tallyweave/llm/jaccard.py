@@ -68,8 +68,8 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.n
 
 
 def described(docs: DataFrame, id: str, text: str, width: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, n, ref, kept columns): size of each set and the class of its copies."""
-    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("__text"), F.col(id).alias("id"), *keep)
+    """(__id, __row, kept columns, n, ref): size of each set and the class of its copies."""
+    rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("__text"), F.col(id).alias("__id"), F.monotonically_increasing_id().alias("__row"), *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, raw, offsets in text_blocks(batches, "__text"):
@@ -328,8 +328,8 @@ def second_round(large: DataFrame, labels: DataFrame, done: DataFrame) -> DataFr
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, keep: tuple[str, ...] = ()) -> DataFrame:
-    """(id, n_shingles, component_id, kept columns) of every row: the size of its set of distinct shingles, and the smallest id
-    that links reach, its own included. Sets are linked when 100 * shared >= percent * united.
+    """(id, n_shingles, component_id, stays, kept columns) of every row: the size of its set of distinct shingles, the smallest id
+    that links reach, its own included, and whether the row is the one of its group that stays. Sets are linked when 100 * shared >= percent * united.
 
     Words are lower-cased in A-Z only. Null, empty and blank texts have an empty set, are linked with nothing and are their own
     component. Rows with one id and equal sets are linked like any others; null ids are never the smallest, unless there are
@@ -346,7 +346,14 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     if more.limit(1).count():
         links = links.union(saved(verified(more, sets_of(texts, more, width), percent), "links"))
         labels = components(links)
-    rows = rows.join(labels.withColumnRenamed("node", "ref"), "ref", "left").withColumn("component", F.when(F.col("n") > 0, F.coalesce("component", "ref")))
-    least = rows.filter("n > 0").groupBy("component").agg(F.min("id").alias("component_id"))
-    out = rows.join(least, "component", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")))
-    return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), "component_id", *keep)
+    labels = labels.withColumnRenamed("node", "ref")
+    grouped = rows.filter("n > 0").select("__id", "__row", "ref").join(labels, "ref", "left").select("ref", "__id", "__row", F.coalesce("component", "ref").alias("component"))
+    least = grouped.groupBy("component").agg(F.min(F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("__row").alias("row"))).alias("least"))
+    # a class is known by its ref: one row for each, so that kept columns meet a narrow table
+    classes = grouped.select("ref", "component").distinct().join(least, "component").select("ref", "least")
+    out = rows.join(classes, (F.col("n") > 0) & (rows["ref"] == classes["ref"]), "left")
+    some = F.col("n") > 0
+    return out.select(
+        F.col("__id").alias(id), F.col("n").alias("n_shingles"), F.when(some, F.col("least.id")).otherwise(F.col("__id")).alias("component_id"),
+        F.when(some, F.col("least.row") == F.col("__row")).otherwise(F.lit(True)).alias("stays"), *[c for c in keep if c != id],
+    )

@@ -104,7 +104,7 @@ def mix(rows: DataFrame, block: int = BLOCK, limit: float = 2.0) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, limit: float = 2.0, block: int = BLOCK, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per document: (id, size, source_size, target, taken, first_slot, kept columns).
+    """One row per document: (id, source, size, source_size, target, taken, first_slot, kept columns).
 
     Null text has size 0, null source is a source of its own, the last; null and repeated ids are rows of their own.
     taken: words of the document in the mix, repeats counted, never above ``limit`` times its size rounded up.
@@ -115,4 +115,4 @@ def mixed(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str =
     got = mix(rows, block, limit).groupBy("place", "start").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.min("slot").alias("first_slot"))
     got = got.withColumn("filled", F.lit(True))
     out = rows.withColumn("filled", F.col("size") > 0).join(got, ["place", "start", "filled"], "left")
-    return out.select(F.col("id").alias(id), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", *keep)
+    return out.select(F.col("id").alias(id), F.col("source").alias(source), "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot", *keep)

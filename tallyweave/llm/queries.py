@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import jaccard, mixing, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
+from . import crosspolytope, jaccard, mixing, multiindex, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,7 +49,7 @@ streams AS (SELECT s.doc_id, s.size, t.source_size, t.target, CAST(floor(t.targe
 SELECT doc_id, size, source_size, target, CAST(greatest(0, least(start + size, quota) - start)
   + greatest(0, least(source_size + start + size, quota) - source_size - start) AS BIGINT) AS taken FROM streams""")
 def mix_sources(spark, folder):
-    return mixing.mixed(table(spark, folder, "documents")).drop("first_slot")
+    return mixing.mixed(table(spark, folder, "documents")).drop("source", "first_slot")
 
 
 @query("op2_token_counts")
@@ -59,7 +59,7 @@ def count_tokens(spark, folder):
 
 @query("op3_ngram_jaccard_join")
 def ngram_jaccard_join(spark, folder):
-    return jaccard.near_duplicates(table(spark, folder, "documents"))
+    return jaccard.near_duplicates(table(spark, folder, "documents")).drop("stays")
 
 
 @query("op4_secret_scan")
@@ -86,6 +86,16 @@ def suffix_array_dedup(spark, folder):
     return suffix_levels.without_repeated_bytes(table(spark, folder, "documents"))
 
 
+@query("op8_embedding_near_dedup")
+def embedding_near_dedup(spark, folder):
+    return crosspolytope.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query("op9_nearest_neighbours")
+def nearest_neighbours(spark, folder):
+    return multiindex.nearest(table(spark, folder, "embeddings"))
+
+
 @query("op10_pack_windows")
 def pack_windows(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))

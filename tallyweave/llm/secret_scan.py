@@ -107,18 +107,29 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int =
     Finds of the fixed patterns all stay; a candidate of the models that overlaps none of them is added. Null text counts
     as empty and has none; repeated rows and null ids are answered row by row; other columns are left out unless
     ``keep`` names them; an empty table gives an empty one. sample: documents that train the models, about."""
-    rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *keep)
+    rows = docs.select(F.col(id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"), *keep)
     share = min(1.0, sample / max(1, rows.count()))
-    picked = rows.select("id", "text").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
+    picked = rows.select(F.col("__id").alias("id"), F.col("__text").alias("text")).filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
     table = F.lit(log_ratios(picked))
     likely = lambda x: let(ratio(x["value"], table), lambda r: (r >= WHOLE) & (r >= STEP * (F.length(x["value"]) - 1)))
-    out = rows.select("id", base_spans(F.col("text")).alias("base"), finds(F.col("text"), CANDIDATE, 3).alias("more"), *keep)
-    apart = lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    more = F.filter("more", lambda x: apart(x) & likely(x))
-    return out.select(F.col("id").alias(id), F.array_sort(F.concat("base", more)).alias("found"), *keep)
+    out = rows.select("__id", base_spans(F.col("__text")).alias("__base"), finds(F.col("__text"), CANDIDATE, 3).alias("__more"), *keep)
+    apart = lambda x: ~F.exists("__base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    more = F.filter("__more", lambda x: apart(x) & likely(x))
+    return out.select(F.col("__id").alias(id), F.array_sort(F.concat("__base", more)).alias("found"), *keep)
 
 
 def as_text(spans: Column) -> Column:
     """kind:start:end of each span, comma-joined."""
     name = lambda k: F.element_at(F.array(*map(F.lit, KINDS)), k + 1)
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", name(x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with each span, overlapping ones together, replaced by a mark."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(done: Column, x: Column) -> Column:
+        fresh = F.concat(done["out"], F.substring(text, done["at"] + 1, x["start"] - done["at"]), F.lit(mark))
+        return F.struct(F.greatest(done["at"], x["end"]).alias("at"), F.when(x["start"] >= done["at"], fresh).otherwise(done["out"]).alias("out"))
+
+    return F.aggregate(spans, start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
