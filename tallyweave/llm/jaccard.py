@@ -7,9 +7,8 @@ is indexed: a class of c shingles survives c - 1 losses, so the prefix is extend
 together survive n - t. The number of classes goes by the size of the set (a power of two); sets near the next power are
 indexed for both. Sets that share an index entry are candidates and are compared in full.
 
-Equal sets are one class of copies from the start. Entries of up to SMALL sets give all their pairs; of a
-larger entry every set is first compared with one, and what is not yet in one component afterwards is compared in
-a second round.
+Equal sets are one class of copies from the start. Entries of up to SMALL sets give all their pairs; of a larger entry every
+set is compared with one in each of several rounds, and what is not in one component after that is compared pair by pair.
 """
 
 from __future__ import annotations
@@ -33,6 +32,8 @@ FREQUENT = 1 << 19
 #: Sets in an index entry that gives all its pairs.
 SMALL = 8
 HELD = 1_000_000
+#: Rounds in which the sets of a large entry are compared with one of them.
+ROUNDS = 6
 CELLS = 1 << 22
 
 
@@ -155,10 +156,10 @@ def frequent_shingles(docs: DataFrame, width: int, buckets: int) -> tuple[np.nda
     return codes[order], df[order]
 
 
-def signatures(of: np.ndarray, hashes: np.ndarray, df: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set, index entry): of, hashes: shingles of sets; df: 0 for rare ones."""
+def signatures(of: np.ndarray, hashes: np.ndarray, df: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(set, entry) of rare shingles, (set, entry) of frequent ones: of, hashes: shingles of sets; df: 0 for rare ones."""
     if not len(of):
-        return of, hashes
+        return of, hashes, of, hashes
     order = np.lexsort((hashes, df, of))
     of, hashes, df = of[order], hashes[order], df[order]
     size = np.bincount(of)
@@ -168,7 +169,7 @@ def signatures(of: np.ndarray, hashes: np.ndarray, df: np.ndarray, percent: int)
     rare = df == 0
     n_rare = np.bincount(of, rare, len(size)).astype(np.int64)
     single = rare & (rank < need[of])
-    out_set, out_sig = [of[single]], [mixed(hashes[single])]
+    out_set, out_sig = [of[:0]], [hashes[:0]]
     log = lambda x: np.frexp(x)[1] - 1  # noqa: E731  whole part of the logarithm
     lacking = (need > n_rare)[of] & ~rare
     f_of, f_hash = of[lacking], hashes[lacking]
@@ -204,24 +205,35 @@ def signatures(of: np.ndarray, hashes: np.ndarray, df: np.ndarray, percent: int)
             low, high = a_hash[:-step][same], a_hash[step:][same]
             out_set.append(a_of[step:][same]), out_sig.append(mixed(mixed(low) * np.uint64(3) + high + salt))
             step += 1
-    return np.concatenate(out_set), np.concatenate(out_sig)
+    return of[single], mixed(hashes[single]), np.concatenate(out_set), np.concatenate(out_sig)
+
+
+RARE_ENTRY = np.dtype([("rest", "<u4"), ("ref", "<i8")])
+#: Entries of frequent shingles also tell the set's size and how many of its shingles are frequent.
+ENTRY = np.dtype([*RARE_ENTRY.descr, ("n", "<u4"), ("f", "<u4")])
 
 
 def candidates(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
-    """(a, b, entry): pairs a < b of classes with entry null; members a of a large entry with b null."""
+    """(a, b, entry, f): pairs a < b of classes with entry null; members a of a large entry with b null.
+
+    A set with entries of frequent shingles has all its rare ones indexed. So two sets that share a rare one meet there, and
+    where they meet by frequent ones they may be taken to share frequent ones alone: at most the smaller number of these, f."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(frequent_shingles(docs, width, buckets))
-    kind = np.dtype([("rest", "<u4"), ("ref", "<i8")])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, dfs = table.value
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def emit() -> pa.RecordBatch:
-            sig, ref = (np.concatenate(c) for c in zip(*held))
+            rare_sig, rare_ref, sig, ref, n, f = (np.concatenate(c) for c in zip(*held))
             held.clear()
-            rows = list(by_bucket((sig % np.uint64(buckets)).astype(np.int32), [(sig >> np.uint64(32)).astype("<u4"), ref.astype("<i8")]))
-            return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["bucket", "data"])
+            split = lambda x: ((x % np.uint64(buckets)).astype(np.int32), (x >> np.uint64(32)).astype("<u4"))
+            bucket, rest = split(rare_sig)
+            rows = [(b, 0, d) for b, d in by_bucket(bucket, [rest, rare_ref.astype("<i8")])]
+            bucket, rest = split(sig)
+            rows += [(b, 1, d) for b, d in by_bucket(bucket, [rest, ref.astype("<i8"), n.astype("<u4"), f.astype("<u4")])]
+            return pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "kind", "data"])
 
         for of, hashes, ref in distinct_sets(batches, width):
             own = code_of(hashes, buckets)
@@ -230,16 +242,18 @@ def candidates(docs: DataFrame, width: int, percent: int, buckets: int) -> DataF
                 at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
                 hit = codes[at] == own
                 df[hit] = dfs[at[hit]]
-            sets, sig = signatures(of, hashes, df, percent)
-            held.append((sig, ref[sets]))
-            if sum(len(h[0]) for h in held) >= HELD // 2:
+            rare_set, rare_sig, sets, sig = signatures(of, hashes, df, percent)
+            n, f = np.bincount(of, minlength=len(ref)), np.bincount(of, df > 0, len(ref)).astype(np.int64)
+            held.append((rare_sig, ref[rare_set], sig, ref[sets], n[sets], f[sets]))
+            if sum(len(h[0]) + len(h[2]) for h in held) >= HELD // 2:
                 yield emit()
         if held:
             yield emit()
 
-    def group(key: tuple, packed: pa.Table) -> pa.Table:
-        rows = R.unpack(packed.column("data").to_pylist(), kind)
-        rows = np.unique(rows)
+    def of_kind(rows: np.ndarray, bucket: int, kind: int) -> pa.Table:
+        rows = rows[np.lexsort((rows["ref"], rows["rest"]))]
+        if len(rows):
+            rows = rows[np.r_[True, (rows["rest"][1:] != rows["rest"][:-1]) | (rows["ref"][1:] != rows["ref"][:-1])]]
         head = np.ones(len(rows), bool)
         head[1:] = rows["rest"][1:] != rows["rest"][:-1]
         first = np.flatnonzero(head)
@@ -249,21 +263,30 @@ def candidates(docs: DataFrame, width: int, percent: int, buckets: int) -> DataF
             starts = first[(size > step) & (size <= SMALL)]
             many = size[(size > step) & (size <= SMALL)] - step
             at = np.repeat(starts, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            if kind:
+                x, y = rows[at], rows[at + step]
+                at = at[(100 + percent) * np.minimum(x["f"], y["f"]).astype(np.int64) >= percent * (x["n"].astype(np.int64) + y["n"])]
             a.append(rows["ref"][at]), b.append(rows["ref"][at + step])
-        large = np.repeat(size > SMALL, size)
-        hub = rows["ref"][np.repeat(first, size)]
-        a.append(hub[large & ~head]), b.append(rows["ref"][large & ~head])
         pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-        members = rows[large]
-        n = len(members)
+        members = rows[np.repeat(size > SMALL, size)]
+        m, p = len(members), len(pairs)
+        entry = (members["rest"].astype(np.int64) * buckets + bucket) * 2 + kind
+        f = members["f"].astype(np.int64) if kind else np.zeros(m, np.int64)
+        nothing = np.zeros(p, np.int64)
+        is_pair = np.r_[np.ones(p, bool), np.zeros(m, bool)]
         return pa.table({
             "a": np.concatenate([pairs[:, 0], members["ref"]]),
-            "b": pa.array(np.concatenate([pairs[:, 1], np.zeros(n, np.int64)]), pa.int64(), mask=np.r_[np.zeros(len(pairs), bool), np.ones(n, bool)]),
-            "entry": pa.array(np.concatenate([np.zeros(len(pairs), np.int64), members["rest"].astype(np.int64) * buckets + key[0].as_py()]), pa.int64(), mask=np.r_[np.ones(len(pairs), bool), np.zeros(n, bool)]),
+            "b": pa.array(np.concatenate([pairs[:, 1], np.zeros(m, np.int64)]), pa.int64(), mask=~is_pair),
+            "entry": pa.array(np.concatenate([nothing, entry]), pa.int64(), mask=is_pair),
+            "f": pa.array(np.concatenate([nothing, f]), pa.int64(), mask=is_pair | (kind == 0)),
         })
 
-    packed = docs.select("text").mapInArrow(index, "bucket int, data binary")
-    return packed.groupBy("bucket").applyInArrow(group, "a long, b long, entry long")
+    def group(key: tuple, packed: pa.Table) -> pa.Table:
+        kinds, data = packed.column("kind").to_pylist(), packed.column("data").to_pylist()
+        each = [of_kind(R.unpack([d for k, d in zip(kinds, data) if k == kind], of), key[0].as_py(), kind) for kind, of in ((0, RARE_ENTRY), (1, ENTRY))]
+        return pa.concat_tables(each)
+
+    return docs.select("text").mapInArrow(index, R.PACKED).groupBy("bucket").applyInArrow(group, "a long, b long, entry long, f long")
 
 
 def sets_of(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
@@ -317,14 +340,55 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
-def second_round(large: DataFrame, labels: DataFrame, done: DataFrame) -> DataFrame:
-    """Pairs of one entry that are not in one component yet and were not compared; entries whose sets all are in one give none."""
-    rows = large.join(labels.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("component", F.coalesce("component", "a"))
-    mixed_ones = rows.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("entry")
-    rows = rows.join(mixed_ones, "entry").select("entry", "a", "component")
-    other = rows.select("entry", F.col("a").alias("b"), F.col("component").alias("of_b"))
-    pairs = rows.join(other, "entry").filter("a < b AND component != of_b").select("a", "b").distinct()
-    return pairs.join(done, ["a", "b"], "left_anti")
+def distinct_entries(large: DataFrame) -> DataFrame:
+    """Members (entry, a, f) of large entries; entries of one kind with the same members come once."""
+    print_of = F.sum(F.pmod(F.xxhash64("a"), F.lit(1 << 40)))
+    prints = large.groupBy("entry").agg(F.count("*").alias("n"), print_of.alias("p"), F.sum(F.pmod(F.xxhash64("a", F.lit(1)), F.lit(1 << 40))).alias("q"))
+    return large.join(prints.groupBy("n", "p", "q", F.pmod("entry", F.lit(2))).agg(F.min("entry").alias("entry")).select("entry"), "entry")
+
+
+def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (entry, a, n, component) of the entries that are not in one component yet."""
+    rows = members.join(labels.select(F.col("node").alias("a"), "component"), "a", "left").withColumn("component", F.coalesce("component", "a"))
+    several = rows.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("entry")
+    return rows.join(several, "entry")
+
+
+def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after further links, which are few: components of components."""
+    at = lambda c: F.coalesce(c, F.col("x"))
+    one = links.select(F.col("a").alias("x"), "b").join(labels.select(F.col("node").alias("x"), "component"), "x", "left").select(at("component").alias("a"), F.col("b").alias("x"))
+    edges = one.join(labels.select(F.col("node").alias("x"), F.col("component").alias("other")), "x", "left").select("a", at("other").alias("b"))
+    nodes = labels.unionByName(links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti").select("node", F.col("node").alias("component")))
+    up = components(edges).select(F.col("node").alias("component"), F.col("component").alias("above"))
+    return saved(nodes.join(up, "component", "left").select("node", F.coalesce("above", "component").alias("component")), "labels")
+
+
+def large_entries(members: DataFrame, sets: DataFrame, labels: DataFrame, done: DataFrame, percent: int) -> DataFrame:
+    """Labels once all links within large entries are known. In each round every entry's sets are compared with one of them, another each time,
+    unless they are in its component; entries of near copies soon are one component. When a round finds nothing new, the
+    sets that are still apart are compared pair by pair."""
+    sizes = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
+    near = sizes & ((100 + percent) * F.least(F.coalesce("f", "n"), F.coalesce("f_b", "n_b")) >= percent * (F.col("n") + F.col("n_b")))
+    for turn in range(ROUNDS + 1):
+        rows = saved(apart(members, labels), "apart")
+        if turn < ROUNDS:
+            hub = rows.groupBy("entry").agg(F.min(F.struct(F.xxhash64("a", F.lit(turn)).alias("h"), F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b"), F.col("component").alias("of_b"))).alias("hub")).select("entry", "hub.b", "hub.n_b", "hub.f_b", "hub.of_b")
+            pairs = rows.join(hub, "entry").filter((F.col("component") != F.col("of_b")) & near)
+        else:
+            other = rows.select("entry", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b"), F.col("component").alias("of_b"))
+            pairs = rows.join(other, (rows["entry"] == other["entry"]) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("of_b")) & near)
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
+        pairs = saved(pairs, "pairs")
+        if not pairs.limit(1).count():
+            if turn < ROUNDS and rows.limit(1).count():
+                continue
+            return labels
+        links = saved(verified(pairs, sets, percent), "links")
+        done = done.union(pairs)
+        if links.limit(1).count():
+            labels = joined_up(labels, links)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = SHINGLE, percent: int = PERCENT, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -339,13 +403,15 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = saved(candidates(texts, width, percent, R.buckets_for(texts)), "candidates")
     pairs = saved(found.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")
-    large = found.filter("entry IS NOT NULL").select("entry", "a")
+    large = found.filter("entry IS NOT NULL").select("entry", "a", "f")
     links = saved(verified(pairs, sets_of(texts, pairs, width), percent), "links")
     labels = components(links)
-    more = saved(second_round(large, labels, pairs), "pairs")
-    if more.limit(1).count():
-        links = links.union(saved(verified(more, sets_of(texts, more, width), percent), "links"))
-        labels = components(links)
+    if large.limit(1).count():
+        sizes = rows.select(F.col("ref").alias("a"), "n").distinct()
+        members = saved(distinct_entries(large).join(sizes, "a"), "members")
+        members = saved(apart(members, labels).drop("component"), "members")
+        sets = saved(sets_of(texts, members.select("a", F.col("a").alias("b")).distinct(), width), "members-sets")
+        labels = large_entries(members, sets, labels, pairs, percent)
     labels = labels.withColumnRenamed("node", "ref")
     grouped = rows.filter("n > 0").select("__id", "__row", "ref").join(labels, "ref", "left").select("ref", "__id", "__row", F.coalesce("component", "ref").alias("component"))
     least = grouped.groupBy("component").agg(F.min(F.struct(F.col("__id").isNull().alias("last"), F.col("__id").alias("id"), F.col("__row").alias("row"))).alias("least"))
