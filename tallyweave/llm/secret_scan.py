@@ -3,7 +3,7 @@ ordinary identifiers. DataFrame functions only; nothing here runs Python on the
 
 Both models are first-order chains over the characters that keys are written in, with counts shrunk towards the
 frequency of the single character. Random samples: values that the fixed patterns find, and digests of the sample's own ids in
-hexadecimal, base 64 and capital letters with digits. Ordinary samples: the words of the same documents outside those values.
+hexadecimal, base 64 and capital letters with digits. Ordinary samples: the words of the same documents outside those values that occur more than once, which unknown keys do not.
 """
 
 from __future__ import annotations
@@ -73,7 +73,8 @@ def samples(docs: DataFrame) -> DataFrame:
     rest = F.aggregate("base", F.col("text"), lambda t, x: F.replace(t, x["value"], F.lit(" ")))
     words = found.select(F.explode(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))).alias("string"))
     tagged = values.union(known).select(F.lit(True).alias("random"), "string").union(words.select(F.lit(False), "string"))
-    return tagged.groupBy("random", "string").agg(F.count("*").alias("weight"))
+    counted = tagged.groupBy("random", "string").agg(F.count("*").alias("weight"))
+    return counted.filter("random OR weight > 1")
 
 
 def log_ratios(docs: DataFrame) -> list[float]:
