@@ -19,7 +19,8 @@ HEADLINE = (
     "downsample_per_label mean_expression flagship_markers markers_one_vs_rest population_mentions profile_correlation "
     "label_centroid_median order_by_pseudotime moving_average adaptive_moving_average resample_nearest trend_genes "
     "bh_adjust combat_gene_stats combat_apply simulate_doublets doublet_cluster_test voted_labels adjusted_rand_index "
-    "adjusted_mutual_info knn snn gauss_graph paga diffusion_transition"
+    "adjusted_mutual_info knn snn gauss_graph paga diffusion_transition markers_pairwise diagonalise_genes minmax_by "
+    "pseudotime_heatmap combat_solve pca scale_clip"
 ).split()
 
 

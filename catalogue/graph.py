@@ -1,13 +1,11 @@
-"""Communities, group graph, diffusion and layout on the vector table."""
+"""Communities, group graph, diffusion on the vector table."""
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import functions as F
 
 from tallyweave.operators import graph, neighbors
-from tallyweave.operators.scale import scratch_dir
 
 from .base import EMB, query, rounded
 from .neighbors import GAUSS, SNN, near, near_sql, snn_edges
@@ -37,7 +35,7 @@ gain AS (SELECT node, c, k.community AS own, round((w - k * (tot.tot - CASE WHEN
 stay AS (SELECT k.node, k.community AS own, coalesce(g, round(-k * (tot - k) / m / m, 10)) AS s
   FROM k JOIN tot USING (community) LEFT JOIN gain ON gain.node = k.node AND c = k.community, m),
 best AS (SELECT node, c, g FROM gain QUALIFY row_number() OVER (PARTITION BY node ORDER BY g DESC, c) = 1)
-SELECT s.node, CASE WHEN s.node % 2 = 0 AND g > s.s THEN c ELSE own END AS community FROM stay s LEFT JOIN best b USING (node)""")
+SELECT s.node, CASE WHEN instr('02468ace', substr(md5(CAST(s.node AS VARCHAR)), 1, 1)) > 0 AND g > s.s THEN c ELSE own END AS community FROM stay s LEFT JOIN best b USING (node)""")
 def _(t):
     return graph.louvain_round(snn_edges(t), _labels(t), 1.0, 0)
 
@@ -80,11 +78,6 @@ def _(t):
     return rounded(graph.group_segments(_paga(t), at), 6, "xi", "yi", "xf", "yf", "w")
 
 
-@query("group_layout")
-def _(t):
-    return graph.group_layout(_paga(t), t.emb_cells, "label", iterations=5)
-
-
 TRANSITION = f"""{GAUSS}, {SYM}, q AS (SELECT src, sum(w) AS q FROM sym GROUP BY 1),
 kk AS (SELECT s.src, s.dst, w / (a.q * b.q) AS v FROM sym s JOIN q a ON a.src = s.src JOIN q b ON b.src = s.dst),
 z AS (SELECT src, sum(v) AS z FROM kk GROUP BY 1),
@@ -135,33 +128,3 @@ def _(t):
     long = t.emb.select("cell_id", F.posexplode("vec").alias("idx", "v"))
     lam = long.groupBy("idx").agg(F.max("v").alias("eigenvalue"))
     return rounded(graph.diffusion_pseudotime(t.emb, lam, t.emb_cells, "label", "c3"), 6, "pseudotime")
-
-
-def _init(t):
-    """First two coordinates, spread out."""
-    return t.emb.select(F.col("cell_id").alias("node"), (F.col("vec")[0] * 100).alias("x"), (F.col("vec")[1] * 100).alias("y"))
-
-
-@query("layout_round", f"""WITH {SNN}, {SYM}, deg AS (SELECT src, count(*) AS k FROM sym GROUP BY 1),
-p AS (SELECT cell_id AS node, vec[1] * 100 AS x, vec[2] * 100 AS y, 2e0 + coalesce(k, 0) AS mass FROM emb LEFT JOIN deg ON src = cell_id),
-rep AS (SELECT a.node, sum(2 * a.mass * b.mass / ((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) * (a.x - b.x)) AS fx,
-  sum(2 * a.mass * b.mass / ((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) * (a.y - b.y)) AS fy FROM p a JOIN p b ON a.node <> b.node GROUP BY 1),
-att AS (SELECT src AS node, sum(w * (b.x - a.x)) AS fx, sum(w * (b.y - a.y)) AS fy FROM sym JOIN p a ON a.node = src JOIN p b ON b.node = dst GROUP BY 1),
-f AS (SELECT p.*, rep.fx + coalesce(att.fx, 0) AS fx, rep.fy + coalesce(att.fy, 0) AS fy FROM p JOIN rep USING (node) LEFT JOIN att USING (node)),
-s AS (SELECT *, sqrt(fx * fx + fy * fy) AS swing FROM f),
-g AS (SELECT count(*) AS n, sum(mass * swing) AS sw, sum(0.5 * mass * swing) AS tr FROM s),
-v AS (SELECT 1 + least(greatest(sqrt(0.05 * sqrt(n)), least(10, 0.05 * sqrt(n) * tr / (n * n))) * tr / sw - 1, 0.5) AS speed FROM g)
-SELECT node, round(x + fx * speed / (1 + sqrt(speed * mass * swing)), 6) + 0e0 AS x, round(y + fy * speed / (1 + sqrt(speed * mass * swing)), 6) + 0e0 AS y FROM s, v""")
-def _(t):
-    return rounded(graph.graph_layout(snn_edges(t), _init(t), iterations=1, exact=True), 6, "x", "y")
-
-
-@query("graph_layout")
-def _(t):
-    return graph.graph_layout(snn_edges(t), _init(t), iterations=10, exact=False)
-
-
-@query("layout_frames")
-def _(t):
-    path = f"{scratch_dir(t.spark)}/frames-{uuid.uuid4().hex}"
-    return graph.layout_frames(snn_edges(t), _init(t), iterations=4, every=2, path=path, exact=False)

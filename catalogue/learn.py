@@ -23,11 +23,6 @@ def _(t):
     return reduce.pca_variance(t.emb, 0.8)[1]
 
 
-@query("map_2d")
-def _(t):
-    return reduce.map_2d(t.emb, iterations=5)
-
-
 @query("harmony")
 def _(t):
     return reduce.harmony(t.emb, t.emb_cells, "batch", rounds=3, inner=3)

@@ -1,4 +1,4 @@
-"""Graph analytics on edge lists (src, dst, w) with src < dst: communities, group graph, diffusion, layout."""
+"""Graph analytics on edge lists (src, dst, w) with src < dst: communities, group graph, diffusion."""
 
 from __future__ import annotations
 
@@ -74,11 +74,12 @@ def _best_moves(sym: DataFrame, state: DataFrame, resolution: float, two_m: floa
 
 
 def _turn(parity: int) -> Column:
-    return F.when(F.pmod("node", F.lit(2)) == parity % 2, F.col("best")).otherwise(F.col("comm"))
+    even = F.substring(F.md5(F.col("node").cast("string")), 1, 1).isin(*"02468ace")  # ids may be numbers or strings
+    return F.when(even == F.lit(parity % 2 == 0), F.col("best")).otherwise(F.col("comm"))
 
 
 def louvain_round(edges: DataFrame, labels: DataFrame, resolution: float = 1.0, parity: int = 0) -> DataFrame:
-    """One round of moves from ``labels(node, community)``: nodes whose id has this parity take their best community."""
+    """One round of moves from ``labels(node, community)``: nodes whose id hashes to this parity take their best community."""
     sym, state, two_m, hot = _level(materialise(edges), labels.select("node", F.col("community").alias("comm")))
     return _best_moves(sym, state, resolution, two_m, hot).select("node", _turn(parity).alias("community"))
 
@@ -106,7 +107,7 @@ def modularity(edges: DataFrame, labels: DataFrame, resolution: float = 1.0) ->
 def louvain(edges: DataFrame, resolution: float = 1.0, rounds: int = 8, levels: int = 4, nodes: DataFrame | None = None) -> DataFrame:
     """Modularity communities: (node, community), the community named by its smallest node.
 
-    Every level runs rounds of simultaneous moves in which only nodes of one id parity move, keeps the best
+    Every level runs rounds of simultaneous moves in which only nodes of one parity of the hashed id move, keeps the best
     labelling seen, and contracts communities to nodes.  A round's own aggregates give the modularity of the
     labelling it started from.  Stops when a level no longer raises it.
     """
@@ -209,20 +210,6 @@ def paga(knn_table: DataFrame, cells: DataFrame, label: str, threshold: float =
     return pair.select("a", "b", F.when(F.col("w") < threshold, 0.0).otherwise(F.col("w")).alias("w"))
 
 
-def group_layout(group_edges: DataFrame, cells: DataFrame, label: str, iterations: int = 100) -> DataFrame:
-    """groups(label, x, y, size): the group graph laid out from a circle in label order."""
-    sizes = cells.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("size"))
-    placed = sizes.withColumn("node", F.row_number().over(Window.orderBy("label")).cast("long"))  # one row per group
-    total = sizes.agg(F.count(F.lit(1)).alias("n")).scalar()
-    angle = F.col("node") * F.lit(6.283185307179586) / total
-    start = placed.select("node", (10 * F.cos(angle)).alias("x"), (10 * F.sin(angle)).alias("y"))
-    ids = placed.select("label", "node")
-    edges = group_edges.where("w > 0").join(ids.select(F.col("label").alias("a"), F.col("node").alias("src")), "a")
-    edges = edges.join(ids.select(F.col("label").alias("b"), F.col("node").alias("dst")), "b").select("src", "dst", "w")
-    at = graph_layout(edges, start, iterations)
-    return placed.join(at, "node").select("label", "x", "y", "size")
-
-
 def group_segments(group_edges: DataFrame, groups: DataFrame) -> DataFrame:
     """Drawn lines (xi, yi, xf, yf, w) of the positive upper-triangle edges."""
     require(groups, "label", "x", "y")
@@ -372,214 +359,3 @@ def diffusion_pseudotime(emb: DataFrame, eigenvalues: DataFrame, cells: DataFram
     dist = F.sqrt(F.aggregate(steps, F.lit(0.0), lambda a, s: a + s * s))
     rows = materialise(rows.select("cell_id", dist.alias("d")))
     return rows.select("cell_id", ratio(F.col("d"), rows.agg(F.max("d").alias("m")).scalar(), 0.0).alias("pseudotime"))
-
-
-# --- layout --------------------------------------------------------------------------------------------------------
-
-EXACT_NODES = 3000
-"""Up to this many nodes repulsion is computed between all of them inside the tasks."""
-
-GRIDS = (8, 32, 128, 512)
-"""Cells per side of the nested grids used beyond that; the last has at most 262,144 mass centres."""
-
-
-def _attraction(edges: DataFrame, pos: DataFrame, rows: DataFrame, hot: bool) -> DataFrame:
-    """(node, ax, ay): each edge pulls its ends together by weight times distance."""
-    a = pos.select(F.col("node").alias("src"), F.col("x").alias("xa"), F.col("y").alias("ya"))
-    b = pos.select(F.col("node").alias("dst"), F.col("x").alias("xb"), F.col("y").alias("yb"))
-    if hot:
-        a = a.join(rows.select(F.col("node").alias("src"), F.col("as_src").alias("_rows")), "src")
-        b = b.join(rows.select(F.col("node").alias("dst"), F.col("as_dst").alias("_rows")), "dst")
-    pulled = join_hot(join_hot(edges, a, ["src"], "_rows", hot=hot), b, ["dst"], "_rows", hot=hot)
-    dx, dy = F.col("w") * (F.col("xb") - F.col("xa")), F.col("w") * (F.col("yb") - F.col("ya"))
-    ends = F.array(
-        F.struct(F.col("src").alias("node"), dx.alias("ax"), dy.alias("ay")),
-        F.struct(F.col("dst").alias("node"), (-dx).alias("ax"), (-dy).alias("ay")),
-    )
-    return pulled.select(F.inline(ends)).groupBy("node").agg(F.sum("ax").alias("ax"), F.sum("ay").alias("ay"))
-
-
-def _mass_centres(pos: DataFrame, exact: bool):
-    """What the tasks need for repulsion: all nodes when few, else mass centres per grid cell."""
-    import numpy as np
-
-    if exact:
-        rows = pos.select("x", "y", "mass").collect()  # <= EXACT_NODES rows
-        return np.array([tuple(r) for r in rows], dtype=float), None
-    x0, x1, y0, y1 = pos.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
-    side = max(x1 - x0, y1 - y0, 1e-12) * (1 + 1e-9)
-    fine = GRIDS[-1]
-    at = lambda c, lo: F.least(F.floor((F.col(c) - lo) / side * fine), F.lit(fine - 1)).cast("int")
-    held = pos.groupBy(at("x", x0).alias("cx"), at("y", y0).alias("cy")).agg(
-        F.sum("mass").alias("m"), F.sum(F.col("mass") * F.col("x")).alias("mx"), F.sum(F.col("mass") * F.col("y")).alias("my")
-    )
-    grid = np.zeros((3, fine, fine))
-    for cx, cy, m, mx, my in held.collect():  # <= fine squared rows
-        grid[:, cx, cy] = m, mx, my
-    return grid, (x0, y0, side)
-
-
-def repulsion_solver(grids: tuple[int, ...], scaling: float):
-    """Function from points, masses and mass centres to the repulsive force on each point.
-
-    Self-contained, so that it travels to the tasks by value.
-    """
-
-    def repulse(points, masses, centres, frame):
-        import numpy as np
-
-        def push(px, py, pm, qx, qy, qm):
-            dx, dy = px - qx, py - qy
-            d2 = dx * dx + dy * dy
-            f = np.divide(scaling * pm * qm, d2, out=np.zeros_like(d2), where=d2 > 1e-18)
-            return (dx * f).sum(1), (dy * f).sum(1)
-
-        x, y, m = points[:, :1], points[:, 1:2], masses[:, None]
-        if frame is None:
-            out = np.empty((len(points), 2))
-            for s in range(0, len(points), 512):
-                e = slice(s, s + 512)
-                out[e, 0], out[e, 1] = push(x[e], y[e], m[e], centres[None, :, 0], centres[None, :, 1], centres[None, :, 2])
-            return out
-        x0, y0, side = frame
-        fine = centres.shape[1]
-        total = np.zeros((len(points), 2))
-        for level, g in enumerate(grids):
-            # centres of this grid; a point meets the cells near its parent cell that are not near its own cell
-            fold = fine // g
-            here = centres.reshape(3, g, fold, g, fold).sum((2, 4))
-            own = np.minimum(np.floor((points - [x0, y0]) / side * g), g - 1).astype(int)
-            last = level == len(grids) - 1
-            if level == 0:
-                span = np.arange(g)
-                cx = np.broadcast_to(span, (len(points), g))
-                cy = cx
-            else:
-                step = g // grids[level - 1]
-                span = np.arange(-step, 2 * step)
-                cx = (own[:, :1] // step) * step + span
-                cy = (own[:, 1:] // step) * step + span
-            ix = np.repeat(cx, cy.shape[1], axis=1)
-            iy = np.tile(cy, (1, cx.shape[1]))
-            inside = (ix >= 0) & (ix < g) & (iy >= 0) & (iy < g)
-            ix, iy = np.clip(ix, 0, g - 1), np.clip(iy, 0, g - 1)
-            mass = np.where(inside, here[0][ix, iy], 0.0)
-            sx, sy = here[1][ix, iy], here[2][ix, iy]
-            close = (abs(ix - own[:, :1]) <= 1) & (abs(iy - own[:, 1:]) <= 1)
-            if last:
-                # the point's own mass is taken out of its own cell
-                mine = (ix == own[:, :1]) & (iy == own[:, 1:])
-                mass = np.where(mine, mass - m, mass)
-                sx, sy = np.where(mine, sx - m * x, sx), np.where(mine, sy - m * y, sy)
-                mass = np.where(mass > 1e-9, mass, 0.0)
-            else:
-                mass = np.where(close, 0.0, mass)
-            safe = np.where(mass > 0, mass, 1.0)
-            fx, fy = push(x, y, m, sx / safe, sy / safe, mass)
-            total[:, 0] += fx
-            total[:, 1] += fy
-        return total
-
-    return repulse
-
-
-def layout_forces(edges: DataFrame, pos: DataFrame, rows: DataFrame, hot: bool, scaling: float, gravity: float, exact: bool) -> DataFrame:
-    """pos(node, x, y, mass, ...) with the force (fx, fy) on every node."""
-    centres, frame = _mass_centres(pos, exact)
-    pulled = pos.join(_attraction(edges, pos, rows, hot), "node", "left").fillna(0.0, ["ax", "ay"])
-    columns = pos.columns
-    kinds = [f"{c} {pos.schema[c].dataType.simpleString()}" for c in columns]
-
-    repulse = repulsion_solver(GRIDS, scaling)
-
-    def force(frames: Iterator):
-        import numpy as np
-
-        for pdf in frames:
-            if not len(pdf):
-                continue
-            at = pdf[["x", "y"]].to_numpy(dtype=float)
-            mass = pdf["mass"].to_numpy(dtype=float)
-            f = repulse(at, mass, centres, frame)
-            dist = np.sqrt((at * at).sum(1))
-            f -= np.divide(gravity * mass, dist, out=np.zeros_like(dist), where=dist > 0)[:, None] * at
-            yield pdf[columns].assign(fx=f[:, 0] + pdf["ax"].to_numpy(), fy=f[:, 1] + pdf["ay"].to_numpy())
-
-    return pulled.mapInPandas(force, ", ".join([*kinds, "fx double", "fy double"]))
-
-
-def next_speed(n: int, swing: float, traction: float, speed: float, efficiency: float, tolerance: float) -> tuple[float, float]:
-    """Global speed of the next step from total swing and traction."""
-    size = 0.05 * n**0.5
-    jitter = tolerance * max(size**0.5, min(10.0, size * traction / (n * n)))
-    erratic = traction == 0 or swing / traction > 2.0
-    slow = 1.0
-    if erratic:
-        jitter = max(jitter, tolerance)
-        slow = 0.5 if efficiency > 0.05 else 1.0
-    target = jitter * efficiency * slow * traction / swing if swing > 0 else float("inf")
-    efficiency *= slow
-    if swing > jitter * traction:
-        efficiency *= 0.7 if efficiency > 0.05 else 1.0
-    elif speed < 1000:
-        efficiency *= 1.3
-    return speed + min(target - speed, 0.5 * speed), efficiency
-
-
-def graph_layout(
-    edges: DataFrame,
-    init: DataFrame,
-    iterations: int = 600,
-    scaling: float = 2.0,
-    gravity: float = 0.0,
-    tolerance: float = 1.0,
-    self_loops: bool = True,
-    exact: bool | None = None,
-    every: int | None = None,
-    path: str | None = None,
-) -> DataFrame:
-    """Force-directed coordinates (node, x, y) from ``init(node, x, y)``.
-
-    A node's mass is one more than the entries of its row, the diagonal included when ``self_loops``.  Each round
-    is two edge joins for attraction and a map for repulsion: against all nodes when there are few, and against
-    mass centres on nested grids otherwise, so no pair of nodes is ever formed.  With ``every`` and ``path`` the
-    coordinates of each ``every``-th round are appended there, partitioned by ``iter``.
-    """
-    require(init, "node", "x", "y")
-    edges = materialise(edges.where("src <> dst").select("src", "dst", "w"))
-    as_src = edges.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("as_src"))
-    as_dst = edges.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("as_dst"))
-    rows = materialise(as_src.join(as_dst, "node", "full").fillna(0))
-    hot = any_hot(rows, "as_src") or any_hot(rows, "as_dst")
-    loop = 1.0 if self_loops else 0.0
-    degree = F.coalesce(F.col("as_src") + F.col("as_dst"), F.lit(0))
-    start = init.join(rows, "node", "left").select(
-        "node", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"),
-        (1.0 + loop + degree).alias("mass"), F.lit(0.0).alias("ox"), F.lit(0.0).alias("oy"),
-    )
-    pos = materialise(start)
-    n = pos.count()
-    exact = n <= EXACT_NODES if exact is None else exact
-    if exact and n > EXACT_NODES:
-        raise ValueError(f"exact repulsion is for at most {EXACT_NODES} nodes")
-    speed, efficiency = 1.0, 1.0
-    for turn in range(1, iterations + 1):
-        forced = materialise(layout_forces(edges, pos, rows, hot, scaling, gravity, exact))
-        swing_of = F.sqrt(F.pow(F.col("ox") - F.col("fx"), F.lit(2)) + F.pow(F.col("oy") - F.col("fy"), F.lit(2)))
-        pull_of = F.sqrt(F.pow(F.col("ox") + F.col("fx"), F.lit(2)) + F.pow(F.col("oy") + F.col("fy"), F.lit(2)))
-        swing, traction = forced.agg(F.sum(F.col("mass") * swing_of), F.sum(0.5 * F.col("mass") * pull_of)).first()
-        speed, efficiency = next_speed(n, swing, traction, speed, efficiency, tolerance)
-        step = F.lit(speed) / (1.0 + F.sqrt(F.lit(speed) * F.col("mass") * swing_of))
-        pos = forced.select(
-            "node", (F.col("x") + F.col("fx") * step).alias("x"), (F.col("y") + F.col("fy") * step).alias("y"),
-            "mass", F.col("fx").alias("ox"), F.col("fy").alias("oy"),
-        )
-        if every and path and turn % every == 0:
-            pos.select("node", "x", "y").withColumn("iter", F.lit(turn)).write.mode("append").partitionBy("iter").parquet(path)
-    return pos.select("node", "x", "y")
-
-
-def layout_frames(edges: DataFrame, init: DataFrame, iterations: int, every: int, path: str, **options) -> DataFrame:
-    """Run the layout and return its saved frames (iter, node, x, y)."""
-    graph_layout(edges, init, iterations, every=every, path=path, **options)
-    return edges.sparkSession.read.parquet(path).select("iter", "node", "x", "y")

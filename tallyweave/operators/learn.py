@@ -148,11 +148,11 @@ def available_classifiers(spark: SparkSession, folder: str) -> list[str]:
 def apply_classifier(rows: DataFrame, folder: str, name: str, out_col: str) -> DataFrame | None:
     """Add the labels a saved model predicts; an unknown name prints the available ones and gives None."""
     spark = rows.sparkSession
-    try:
-        model = PipelineModel.load(f"{folder.rstrip('/')}/{name}")
-    except Exception as reason:
-        print(f"no classifier {name!r} ({type(reason).__name__}); available: {available_classifiers(spark, folder)}")
+    known = available_classifiers(spark, folder)
+    if name not in known:
+        print(f"no classifier {name!r}; available: {known}")
         return None
+    model = PipelineModel.load(f"{folder.rstrip('/')}/{name}")
     out = model.transform(rows.withColumn("vector", array_to_vector("features")))
     return out.select(*rows.columns, F.col("predicted").alias(out_col))
 

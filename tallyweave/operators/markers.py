@@ -138,20 +138,21 @@ def markers_pairwise(
     cells: DataFrame,
     label: str,
     pairs: DataFrame,
-    max_cells: int = 500,
+    max_cells: int | None = None,
     min_pct: float = 0.1,
     logfc: float = 0.25,
     seed: int = 0,
 ) -> DataFrame:
     """Each (query, reference) pair of labels against each other; equal labels are skipped.
 
-    Every label is capped at ``max_cells`` cells (a property of the test), so a pair costs at most twice that
+    With ``max_cells`` every label is capped first, so a pair costs at most twice that
     many values per gene.  ``pairs(query, reference)`` is a lookup table.  Leading ``Q::`` and ``R::`` are
     stripped from the reported names.
     """
     require(pairs, "query", "reference")
     n_genes = expr.select("gene_id").distinct().agg(F.count(F.lit(1)).alias("g")).scalar()
-    cells = downsample_per_label(cells, label, max_cells, seed)
+    if max_cells is not None:
+        cells = downsample_per_label(cells, label, max_cells, seed)
     pairs = pairs.where(F.col("query") != F.col("reference")).select("query", "reference").distinct()
     tally = label_tally(expr, cells, label)
     as_query = lookup_join(tally, pairs.select(F.col("query").alias("label"), "query", "reference"), ["label"], "inner")
@@ -229,7 +230,7 @@ def split_populations(gene_to_pop: DataFrame) -> DataFrame:
     return gene_to_pop.select("gene", F.explode(F.split("populations", ", ")).alias("population")).distinct()
 
 
-def population_mentions(profile: DataFrame, gene_to_pop: DataFrame, top: int = 500) -> DataFrame:
+def population_mentions(profile: DataFrame, gene_to_pop: DataFrame, top: int | None = None) -> DataFrame:
     """Per label: every population flagged by a gene gets 100 * mean / genes of that population.
 
     ``profile(label, gene_id, mean)`` should already lack the genes that are not to count.
@@ -240,6 +241,8 @@ def population_mentions(profile: DataFrame, gene_to_pop: DataFrame, top: int = 5
     hit = lookup_join(profile.where(F.col("mean") != 0), flags, ["gene_id"], "inner")
     out = hit.groupBy("label", "population").agg(F.sum(100.0 * F.col("mean") / F.col("genes")).alias("weight"))
     out = out.withColumn("freq", F.round(100 * F.col("weight")).cast("long")).where(F.col("freq") >= 1)
+    if top is None:
+        return out
     w = Window.partitionBy("label").orderBy(F.col("freq").desc(), "population")
     return out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= top).drop("_rn")
 

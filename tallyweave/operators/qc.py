@@ -36,7 +36,7 @@ def filter_cells_genes(counts: DataFrame, min_cells: int = 3, min_genes: int = 2
 def percent_pattern(counts: DataFrame, genes: DataFrame, regex: str, column: str = "symbol") -> DataFrame:
     """Share of each cell's count that falls on genes whose ``column`` matches ``regex``."""
     require(genes, "gene_id", column)
-    hits = genes.where(F.col(column).rlike(regex)).select("gene_id", F.lit(True).alias("_hit"))
+    hits = genes.where(F.col(column).rlike(regex)).select("gene_id", F.lit(True).alias("_hit")).distinct()
     on = F.sum(F.when(F.col("_hit"), F.col("n")).otherwise(0.0))
     return counts.join(hits, "gene_id", "left").groupBy("cell_id").agg((on / F.sum("n")).alias("pct"))
 

@@ -64,17 +64,6 @@ def pca_variance(vecs: DataFrame, share: float = 0.8, kmax: int = 100) -> tuple[
     return _project(rows, w[:, :k], mean), _loadings(rows, w[:, :k], shares[:k])
 
 
-def map_2d(emb: DataFrame, k: int = 5, metric: str = "correlation", iterations: int = 100, probe="all") -> DataFrame:
-    """(cell_id, x, y): force layout of the fuzzy neighbour graph, started from the first two principal components."""
-    from .graph import graph_layout
-    from .neighbors import knn, umap_graph
-
-    edges = umap_graph(knn(emb, k, metric, probe))
-    start, _ = pca(emb, 2)
-    init = start.select(F.col("cell_id").alias("node"), F.col("vec")[0].alias("x"), F.col("vec")[1].alias("y"))
-    return graph_layout(edges, init, iterations).withColumnRenamed("node", "cell_id")
-
-
 MAX_BATCHES = 1000
 
 

@@ -33,7 +33,7 @@ def annotate_counts(
 
 def mark_clusters(
     expr: DataFrame, cells: DataFrame, edges: DataFrame, gene_info: DataFrame, info_columns: list[str], gene_to_pop: DataFrame,
-    resolution: float = 1.0, cap: int = 300, top: int = 50, min_pct: float = 0.25, logfc: float = 0.25,
+    resolution: float = 1.0, cap: int | None = None, top: int = 50, min_pct: float = 0.25, logfc: float = 0.25,
 ) -> dict[str, DataFrame]:
     """Communities, their markers with annotation, and an empty template for their names."""
     found = graph.louvain(edges, resolution)
@@ -68,12 +68,13 @@ def trajectory(
 
 
 def compare_datasets(
-    query: tuple[DataFrame, DataFrame], reference: tuple[DataFrame, DataFrame], label: str, least: int = 20, cap: int = 2000,
+    query: tuple[DataFrame, DataFrame], reference: tuple[DataFrame, DataFrame], label: str, least: int = 20, cap: int | None = None,
 ) -> dict[str, DataFrame]:
     """Profiles of two data sets, their rank correlation with p, over the shared variable genes."""
     sides = {}
     for tag, (counts, cells) in (("Q", query), ("R", reference)):
-        cells = qc.drop_small_labels(qc.downsample_per_label(cells, label, cap, 0), label, least)
+        drawn = cells if cap is None else qc.downsample_per_label(cells, label, cap, 0)
+        cells = qc.drop_small_labels(drawn, label, least)
         expr = materialise(qc.log_normalise(counts.join(cells.select("cell_id"), "cell_id", "left_semi")))
         hvg = qc.selected_genes(qc.variable_genes_mvp(expr, cells))
         sides[tag] = (profile.mean_expression(expr, cells, label), hvg)

@@ -88,7 +88,18 @@ def write_mtx(df: DataFrame, path: str, shape: tuple[int, int] | None = None, sy
 def _folder_of(file: Column) -> Column:
     """The sample folder of one of its files; a listed file may itself be a folder of parts."""
     top = F.regexp_extract(file, r"^(.*?)/(?:matrix\.mtx|barcodes\.tsv|genes\.tsv)(?:/.*)?$", 1)
-    return F.regexp_replace(top, r"^[a-z0-9]+:/+", "/")
+    return _plain(top)
+
+
+def _plain(uri: Column) -> Column:
+    """A file's URI without escapes, and with one slash after the scheme."""
+    return F.regexp_replace(F.url_decode(F.regexp_replace(uri, r"\+", "%2B")), ":/+", ":/")
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path as the file system names it: absolute, with scheme and host, escaped like the URIs of files."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri().toString()
 
 
 def _numbered(spark: SparkSession, paths: list[str], column: int) -> DataFrame:
@@ -129,10 +140,12 @@ def read_10x(spark: SparkSession, samples: list[tuple[str, str]]) -> tuple[DataF
     matrices = [part for m in files("matrix.mtx") for part in ([f"{m}/header", f"{m}/entries"] if _is_folder(spark, m) else [m])]
     entries, _ = _matrix_lines(spark, matrices)
     entries = entries.withColumn("folder", _folder_of(F.col("file")))
-    table = spark.createDataFrame([(p, x) for p, x in found], "path string, prefix string")
-    at_root = F.regexp_replace("path", r"^[a-z0-9]+:/+", "/")
-    table = F.broadcast(table.select(at_root.alias("folder"), "prefix"))  # one row per sample
+    table = spark.createDataFrame([(_qualified(spark, p), x) for p, x in found], "path string, prefix string")
+    table = F.broadcast(table.select(_plain(F.col("path")).alias("folder"), "prefix"))  # one row per sample
     barcodes = _numbered(spark, files("barcodes.tsv"), 0)
+    silent = [r["folder"] for r in table.join(barcodes.select("folder").distinct(), "folder", "left_anti").collect()]
+    if silent:  # at most one row per sample
+        raise ValueError(f"samples without barcodes: {silent}")
     genes = _numbered(spark, files("genes.tsv"), 1)
     named = (
         entries.join(barcodes.select("folder", F.col("at").alias("j"), F.col("name").alias("barcode")), ["folder", "j"])
@@ -193,8 +206,3 @@ def gene_bundles(expr: DataFrame, cells: DataFrame, genes: DataFrame, size: int)
     placed = global_position(genes.select("gene_id").distinct(), ["gene_id"], "_at")
     bundles = placed.select("gene_id", F.floor((F.col("_at") - 1) / size).alias("bundle"))
     return expr.select("cell_id", "gene_id", "x").join(bundles, "gene_id").join(cells, "cell_id")
-
-
-def bundle_size(n_cells: int) -> int:
-    """Genes per bundle that keep a bundle's file near one size."""
-    return max(1, round(20 * 26149846 / n_cells))

@@ -81,14 +81,6 @@ def test_grid_repulsion_is_close_to_exact():
     assert np.median(error) < 0.05
 
 
-def test_layout_frames_are_kept(spark, edges, tables):
-    import uuid
-
-    init = tables.emb.select(F.col("cell_id").alias("node"), F.col("vec")[0].alias("x"), F.col("vec")[1].alias("y"))
-    frames = graph.layout_frames(edges, init, 2, 1, f"{scratch_dir(spark)}/frames-{uuid.uuid4().hex}", exact=False)
-    assert {(r["iter"], r["n"]) for r in frames.groupBy("iter").agg(F.count(F.lit(1)).alias("n")).collect()} == {(1, 500), (2, 500)}
-
-
 def test_harmony_mixes_batches(spark):
     rng = np.random.RandomState(2)
     rows = []
@@ -248,3 +240,34 @@ def test_marker_plans_have_no_cartesian_product(tables):
 def test_scan_reads_only_the_needed_columns(tables):
     text = qc.cell_stats(tables.counts)._jdf.queryExecution().executedPlan().toString()
     assert "l_extendedprice" not in text and "l_quantity" in text
+
+
+def test_louvain_takes_string_ids(spark, edges):
+    from tallyweave.operators import graph
+
+    named = edges.selectExpr("concat('cell_', src) AS a", "concat('cell_', dst) AS b", "w").selectExpr("least(a, b) AS src", "greatest(a, b) AS dst", "w")
+    got = graph.louvain(named)
+    q = graph.modularity(named, got).first()["q"]
+    assert got.select("community").distinct().count() > 1 and q > 0.2
+
+
+def test_read_10x_by_any_path(spark, tmp_path, monkeypatch):
+    from tallyweave.sources.files import read_10x
+
+    folder = tmp_path / "a sample+1"
+    folder.mkdir()
+    (folder / "matrix.mtx").write_text("%%MatrixMarket matrix coordinate integer general\n2 2 3\n1 1 5\n2 1 1\n2 2 7\n")
+    (folder / "barcodes.tsv").write_text("AA\nBB\n")
+    (folder / "genes.tsv").write_text("g1\tone\ng2\ttwo\n")
+    want = {("s_AA", "one", 5.0), ("s_AA", "two", 1.0), ("s_BB", "two", 7.0)}
+    for path in (str(folder), f"file://{folder}", f"{folder}/"):
+        counts, _ = read_10x(spark, [(path, "s")])
+        assert {(r["cell_id"], r["gene_id"], float(r["n"])) for r in counts.collect()} == want
+
+
+def test_percent_pattern_counts_a_repeated_gene_once(spark):
+    from tallyweave.operators.qc import percent_pattern
+
+    counts = spark.createDataFrame([(1, 1, 3.0), (1, 2, 1.0)], "cell_id long, gene_id long, n double")
+    genes = spark.createDataFrame([(1, "MT-1"), (1, "MT-1"), (2, "X")], "gene_id long, symbol string")
+    assert percent_pattern(counts, genes, "^MT-").first()["pct"] == 0.75
