@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes that one vectorised step works on; a longer document is a step of its own.
 BLOCK_BYTES = 1 << 20
+BATCH_ROWS = 1000
 
 
 def scratch(spark: SparkSession) -> str:
@@ -28,6 +29,13 @@ def scratch(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows that go to Python together: texts are long, so fewer than Spark's own default, unless the session says otherwise."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it again: the lineage ends there and a lost executor costs nothing."""
     spark = df.sparkSession

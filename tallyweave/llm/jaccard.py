@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import repeats as R
-from .common import components, saved, text_blocks
+from .common import components, saved, small_batches, text_blocks
 from .words import mixed, run_hashes, word_bounds, word_hashes
 
 SHINGLE = 5
@@ -31,9 +31,9 @@ OFTEN = 16
 FREQUENT = 1 << 19
 #: Sets in an index entry that gives all its pairs.
 SMALL = 8
-HELD = 1_000_000
+HELD = 500_000
 #: Rounds in which the sets of a large entry are compared with one of them.
-ROUNDS = 6
+ROUNDS = 4
 CELLS = 1 << 22
 
 
@@ -399,6 +399,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     component. Rows with one id and equal sets are linked like any others; null ids are never the smallest, unless there are
     only such. Other columns are left out unless ``keep`` names them; an empty table gives an empty one. Shingles are compared by
     hashes, five bytes of them in the last comparison."""
+    small_batches(docs.sparkSession)
     rows = saved(described(docs, id, text, width, keep), "sets")
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = saved(candidates(texts, width, percent, R.buckets_for(texts)), "candidates")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import text_blocks
+from .common import small_batches, text_blocks
 
 CAPACITY = 4096
 #: Windows in a group, and the share of further windows that balance may cost.
@@ -203,6 +203,7 @@ def pack(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text"
     white space. ids: also return the pieces' token ids as little-endian unsigned 32-bit bytes.
     sequence_id holds the task in its upper bits, so a task that runs again gives the same numbers.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     last = np.array([end_id], "<u4").tobytes()
     kind = rows.select("id").schema

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import text_blocks
+from .common import small_batches, text_blocks
 from .words import word_bounds, word_hashes
 
 #: Rows that train the model: at most about this many positives, and as many unlabelled ones.
@@ -162,6 +162,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text:
     an unlabelled row, nothing can be learnt and every score is 1. An empty table gives an empty one. Inputs of a
     score come from the text alone. Columns beside the named ones are left out unless ``keep`` names them."""
     spark = docs.sparkSession
+    small_batches(spark)
     model = spark.sparkContext.broadcast(train(docs, labels, id, text, label, sample))
     rows = docs.select(F.coalesce(F.col(text), F.lit("")).alias("__text"), F.col(id).alias("__id"), *keep)
 

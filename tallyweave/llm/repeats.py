@@ -19,7 +19,7 @@ from .words import VALUE, word_bounds, word_hashes
 
 NULL_ID = (1 << 63) - 1
 #: Suffixes that a task sorts and thins out together before it hands them on.
-HELD = 600_000
+HELD = 400_000
 #: Different suffixes with one prefix in one task that make the prefix hot: its suffixes are all examined, without being brought together first.
 HOT = 4096
 #: Bytes of text whose suffixes one group holds.

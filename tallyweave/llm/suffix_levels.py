@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import repeats as R
 from .anchors import PLACE_BITS, running, span_hashes
-from .common import forget, saved
+from .common import forget, saved, small_batches
 from .words import VALUE
 
 WIDTH = 100
@@ -190,6 +190,7 @@ def without_repeated_bytes(docs: DataFrame, id: str = "doc_id", text: str = "tex
     empty table gives an empty one. n_spans: maximal removed runs. kept: the bytes left, which may cut a character. Strings are
     compared by 64-bit hashes."""
     rows = R.keyed(docs, id, text)
+    small_batches(docs.sparkSession)
     found = indexed(rows, width, batches)
     contents = saved(windows_to_examine(rows, found.filter(F.col("kind") == R.EXAMINE).distinct(), width), "contents")
     spans = saved(found.filter(F.col("kind") == R.REMOVED).select("doc", "tag", "first", "last").union(repeated_windows(contents, width)), "spans")

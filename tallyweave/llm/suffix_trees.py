@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import repeats as R
 from .anchors import running, span_hashes
-from .common import saved
+from .common import saved, small_batches
 
 WIDTH = 13
 #: Leading words by which sampled suffixes are parted.
@@ -114,6 +114,7 @@ def without_repeated_words(docs: DataFrame, id: str = "doc_id", text: str = "tex
     remove from each other, repeated rows are answered alike, and other columns are left out. An empty table gives an
     empty one. kept: the words left, joined by one space. Words are compared by 64-bit hashes."""
     rows = R.keyed(docs, id, text)
+    small_batches(docs.sparkSession)
     found = saved(branches(rows, width), "branches")
     examine = found.filter(F.col("kind") == R.EXAMINE).select("doc", "tag", "first", "last")
     suffixes = saved(paths(rows, examine, width), "paths")

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import text_blocks
+from .common import small_batches, text_blocks
 
 #: Pre-tokens in the broadcast table: at most this many entries of at most LONGEST characters each.
 FREQUENT = 1 << 16
@@ -132,6 +132,7 @@ def token_counts(docs: DataFrame, model: str, id: str = "doc_id", text: str = "t
     that every worker can open. limit: ``over_limit`` says whether n_tokens is above it.
     """
     spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     lengths = Lengths.of(model)
     words = frequent_pre_tokens(rows, "text") if lengths.splits else []
