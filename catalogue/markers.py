@@ -132,7 +132,7 @@ QUALIFY row_number() OVER (PARTITION BY label ORDER BY round(100 * weight) DESC,
 def _(t):
     mito = t.genes.where("pathway = 'ECONOMY'")
     prof = profile.mean_expression(qc.exclude_genes(t.expr, names=mito), t.cells, "label")
-    return rounded(markers.population_mentions(prof, _populations(t)), 6, "weight")
+    return rounded(markers.population_mentions(prof, _populations(t), top=500), 6, "weight")
 
 
 LISTED = "listed AS (SELECT gene_id FROM counts GROUP BY 1 ORDER BY count(*) DESC, gene_id LIMIT 20)"
