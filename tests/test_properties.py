@@ -271,3 +271,12 @@ def test_percent_pattern_counts_a_repeated_gene_once(spark):
     counts = spark.createDataFrame([(1, 1, 3.0), (1, 2, 1.0)], "cell_id long, gene_id long, n double")
     genes = spark.createDataFrame([(1, "MT-1"), (1, "MT-1"), (2, "X")], "gene_id long, symbol string")
     assert percent_pattern(counts, genes, "^MT-").first()["pct"] == 0.75
+
+
+def test_normal_tail_far_out(spark):
+    from math import erfc, sqrt
+
+    from tallyweave.functions.formulas import two_sided_normal
+
+    rows = spark.createDataFrame([(z,) for z in (0.0, 0.5, 4.0, 10.0, 20.0, -30.0)], "z double").selectExpr("z", f"{two_sided_normal('z')} AS p").collect()
+    assert all(abs(r["p"] / erfc(abs(r["z"]) / sqrt(2)) - 1) < 2e-7 for r in rows)
