@@ -30,6 +30,17 @@ def test_token_counts_equal_the_library(docs, rows, no_docs):
     assert token_counts.token_counts(no_docs, PIECES).count() == 0
 
 
+def test_token_counts_of_odd_white_space_over_many_tasks(spark):
+    import sentencepiece
+
+    rng = np.random.default_rng(1)
+    texts = ["", " ", "  ", "\n", "a  b", "a \n b", "\n\na", "\u2581a\u2581b", "a\u2581 b", "<s> a</s>", "a\x00b", "\ta\r\n"]
+    texts += ["".join(rng.choice(list(" \nab\u2581\u00e9.\u65e5<"), n)) for n in rng.integers(0, 30, 400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2 * token_counts.FAN_IN + 3)
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(rows, PIECES).collect()} == dict(enumerate(map(len, model.encode(texts))))
+
+
 def test_packing_round_trip(docs, rows, no_docs):
     from tokenizers import Tokenizer
 
