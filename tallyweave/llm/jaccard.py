@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from . import repeats as R
 from .common import components, saved, small_batches, text_blocks
@@ -34,6 +34,8 @@ SMALL = 8
 HELD = 500_000
 #: Rounds in which the sets of a large entry are compared with one of them.
 ROUNDS = 4
+#: Smallest entries of a set by which two sets know that they meet in an earlier entry too; a set in more entries may meet another twice.
+LOWEST = 16
 CELLS = 1 << 22
 
 
@@ -310,8 +312,15 @@ def sets_of(docs: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "ref long, members binary").dropDuplicates(["ref"])
 
 
+def near_in_size(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are not too unlike in size; sizes: (a, n) of every class."""
+    of_b = sizes.select(F.col("a").alias("b"), F.col("n").alias("n_b"))
+    close = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
+    return pairs.join(sizes, "a").join(of_b, "b").filter(close).select("a", "b")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar enough."""
+    """The pairs (a, b) that are similar enough, of pairs near in size."""
 
     def members(column: pa.Array) -> list[np.ndarray]:
         out = []
@@ -331,12 +340,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    size = F.octet_length("members")
-    side = lambda name: sets.select(F.col("ref").alias(name), F.col("members").alias(f"of_{name}"), size.alias(f"n_{name}"))
-    close = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    sizes = sets.select("ref", size.alias("n"))
-    near = pairs.join(sizes.select(F.col("ref").alias("a"), F.col("n").alias("n_a")), "a").join(sizes.select(F.col("ref").alias("b"), F.col("n").alias("n_b")), "b").filter(close).select("a", "b")
-    rows = near.join(side("b").drop("n_b"), "b").join(side("a").drop("n_a"), "a").select("a", "b", "of_a", "of_b")
+    side = lambda name: sets.select(F.col("ref").alias(name), F.col("members").alias(f"of_{name}"))
+    rows = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "of_a", "of_b")
     return rows.mapInArrow(run, "a long, b long")
 
 
@@ -354,6 +359,16 @@ def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(several, "entry")
 
 
+def with_lowest(rows: DataFrame) -> DataFrame:
+    """The members with ``low``, the smallest entries of their set in order, LOWEST at most. Entries of rare and of frequent shingles
+    are looked at apart, as pairs that only meet by frequent ones face a further bound."""
+    kind = F.pmod("entry", F.lit(2))
+    nth = F.row_number().over(Window.partitionBy("a", "kind").orderBy("entry"))
+    low = rows.select("a", kind.alias("kind"), "entry").withColumn("nth", nth).filter(F.col("nth") <= LOWEST)
+    low = low.groupBy("a", "kind").agg(F.sort_array(F.collect_list("entry")).alias("low"))
+    return rows.withColumn("kind", kind).join(low, ["a", "kind"]).drop("kind")
+
+
 def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
     """Labels after further links, which are few: components of components."""
     at = lambda c: F.coalesce(c, F.col("x"))
@@ -376,8 +391,11 @@ def large_entries(members: DataFrame, sets: DataFrame, labels: DataFrame, done:
             hub = rows.groupBy("entry").agg(F.min(F.struct(F.xxhash64("a", F.lit(turn)).alias("h"), F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b"), F.col("component").alias("of_b"))).alias("hub")).select("entry", "hub.b", "hub.n_b", "hub.f_b", "hub.of_b")
             pairs = rows.join(hub, "entry").filter((F.col("component") != F.col("of_b")) & near)
         else:
-            other = rows.select("entry", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b"), F.col("component").alias("of_b"))
-            pairs = rows.join(other, (rows["entry"] == other["entry"]) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("of_b")) & near)
+            # two sets meet in many entries; those that are known to have met in a smaller one are not paired again
+            rows = with_lowest(rows)
+            first = F.coalesce(F.try_element_at(F.array_intersect("low", "low_b"), F.lit(1)), F.col("entry")) >= F.col("entry")
+            other = rows.select(F.col("entry").alias("entry_b"), F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b"), F.col("component").alias("of_b"), F.col("low").alias("low_b"))
+            pairs = rows.join(other, (F.col("entry") == F.col("entry_b")) & (F.col("a") < F.col("b")) & (F.col("component") != F.col("of_b")) & near & first)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
         pairs = saved(pairs, "pairs")
         if not pairs.limit(1).count():
@@ -403,12 +421,12 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     rows = saved(described(docs, id, text, width, keep), "sets")
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
     found = saved(candidates(texts, width, percent, R.buckets_for(texts)), "candidates")
-    pairs = saved(found.filter("b IS NOT NULL").select("a", "b").distinct(), "pairs")
+    sizes = saved(rows.select(F.col("ref").alias("a"), "n").distinct(), "sizes")
+    pairs = saved(near_in_size(found.filter("b IS NOT NULL").select("a", "b").distinct(), sizes, percent), "pairs")
     large = found.filter("entry IS NOT NULL").select("entry", "a", "f")
     links = saved(verified(pairs, sets_of(texts, pairs, width), percent), "links")
     labels = components(links)
     if large.limit(1).count():
-        sizes = rows.select(F.col("ref").alias("a"), "n").distinct()
         members = saved(distinct_entries(large).join(sizes, "a"), "members")
         members = saved(apart(members, labels).drop("component"), "members")
         sets = saved(sets_of(texts, members.select("a", F.col("a").alias("b")).distinct(), width), "members-sets")

@@ -133,8 +133,10 @@ def components(sets):
     return [find(i) for i in range(len(sets))]
 
 
-@pytest.mark.parametrize("often,small", [(16, 8), (2, 2)])  # the second makes most shingles frequent and entries large
-def test_jaccard_components(docs, rows, no_docs, monkeypatch, often, small):
+@pytest.mark.parametrize("often,small,rounds", [(16, 8, 4), (2, 2, 4), (2, 2, 0)])  # the second makes most shingles frequent and entries large, the third pairs all in them
+def test_jaccard_components(docs, rows, no_docs, monkeypatch, often, small, rounds):
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard, "LOWEST", 16 if rounds else 2)
     monkeypatch.setattr(jaccard, "OFTEN", often)
     monkeypatch.setattr(jaccard, "SMALL", small)
     low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
