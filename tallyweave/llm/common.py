@@ -16,6 +16,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Text bytes that one vectorised step works on; a longer document is a step of its own.
 BLOCK_BYTES = 1 << 20
 BATCH_ROWS = 1000
+#: What operators keep in a worker from task to task. Workers go on from one operator to the next, and so would this.
+CACHES: list[dict] = []
 
 
 def scratch(spark: SparkSession) -> str:
@@ -66,8 +68,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut batches into runs of rows whose texts hold about ``limit`` bytes; yields (rows, bytes, offsets)."""
+def text_blocks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = BLOCK_BYTES, cache: dict | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Cut batches into runs of rows whose texts hold about ``limit`` bytes; yields (rows, bytes, offsets). Of the worker's
+    caches only ``cache`` is kept; the others are those of operators that are over, and are emptied."""
+    for held in CACHES:
+        if held is not cache:
+            held.clear()
     for batch in batches:
         raw, offsets = text_bytes(batch.column(batch.schema.get_field_index(text)))
         first = 0

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import small_batches, text_blocks
+from .common import CACHES, small_batches, text_blocks
 
 CAPACITY = 4096
 #: Windows in a group, and the share of further windows that balance may cost.
@@ -194,6 +194,9 @@ class Words:
         return out
 
 
+CACHES.append(Words.open)
+
+
 def pack(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text", end_id: int = 2, capacity: int = CAPACITY, group: int = GROUP, ids: bool = False) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids]) of every piece.
 
@@ -231,7 +234,7 @@ def pack(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text"
             given, held, waiting, bulk = [], [], 0, 0
             return pa.record_batch(out + ([pa.array(parts, pa.binary())] if ids else []), names=kind.names)
 
-        for block, _, _ in text_blocks(batches):
+        for block, _, _ in text_blocks(batches, cache=Words.open):
             given.append(block.column(0))
             new = [x + last for x in words.encode(block.column(1).to_pylist())]
             held += new

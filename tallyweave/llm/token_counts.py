@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import saved, small_batches, text_blocks
+from .common import CACHES, saved, small_batches, text_blocks
 
 #: Pre-tokens in the broadcast table: at most this many entries of at most LONGEST characters each.
 FREQUENT = 1 << 16
@@ -125,6 +125,9 @@ class Lengths:
         return out
 
 
+CACHES.append(Lengths.open)
+
+
 def top(counts: dict[str, int], n: int) -> list[tuple[str, int]]:
     return heapq.nsmallest(n, counts.items(), key=lambda x: (-x[1], x[0]))
 
@@ -145,7 +148,7 @@ def frequent_chunks(texts: DataFrame, text: str, n: int = FREQUENT) -> list[str]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
-        for rows, _, _ in text_blocks(batches, text):
+        for rows, _, _ in text_blocks(batches, text, cache=Lengths.open):
             each = chunks_of(pc.replace_substring(rows.column(0), "\n", " "))[0].value_counts()
             counts = added(counts, strings(each.field("values")), each.field("counts").to_numpy().tolist())
         del counts[""]
@@ -186,7 +189,7 @@ def token_counts(docs: DataFrame, model: str, id: str = "doc_id", text: str = "t
         mine = Lengths.of(model)
         mine.seed = tier.value
         mine.known = {**mine.known, **mine.seed} if len(mine.known) < CACHED // 2 else dict(mine.seed)
-        for block, _, offsets in text_blocks(batches):
+        for block, _, offsets in text_blocks(batches, cache=Lengths.open):
             n = mine.count(block.column(1))
             yield pa.record_batch([block.column(0), pa.array(offsets[1:] - offsets[:-1]), pa.array(n)], names=["id", "n_bytes", "n_tokens"])
 

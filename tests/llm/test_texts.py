@@ -261,3 +261,16 @@ def test_repeated_bytes(spark, rows, no_docs, monkeypatch, batches, crowded, hot
     assert by(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
     if batches == 1:
         assert suffix_levels.without_repeated_bytes(no_docs).count() == 0
+
+
+def test_a_worker_keeps_the_cache_of_one_operator():
+    import pyarrow as pa
+
+    from tallyweave.llm.common import text_blocks
+
+    packing.Words.open["a"], token_counts.Lengths.open["b"] = "words", "lengths"
+    batch = pa.record_batch([pa.array(["x y", None])], names=["text"])
+    assert sum(rows.num_rows for rows, _, _ in text_blocks([batch], cache=packing.Words.open)) == 2
+    assert "a" in packing.Words.open and not token_counts.Lengths.open
+    list(text_blocks([batch]))
+    assert not packing.Words.open
