@@ -3,7 +3,9 @@ ordinary identifiers. DataFrame functions only; nothing here runs Python on the
 
 Both models are first-order chains over the characters that keys are written in, with counts shrunk towards the
 frequency of the single character. Random samples: values that the fixed patterns find, and digests of the sample's own ids in
-hexadecimal, base 64 and capital letters with digits. Ordinary samples: the words of the same documents outside those values that occur more than once, which unknown keys do not.
+hexadecimal, base 64 and capital letters with digits. Ordinary samples: the words of the same documents outside those values that
+occur at more than one place, copies of a text taken as one. Every string counts once, however often it occurs. A copied key
+occurs at several places too, so strings as long as a candidate are ordinary only if a trial model of the shorter ones does not call them random.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import forget, saved
+
 #: Kinds in their order, the patterns, and how long a find must be.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -22,7 +26,8 @@ KINDS = ("assign", "access", "hex", "markov")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 #: A run of these characters as long as this is a candidate; shorter ones say too little about their origin.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}"
+SHORTEST = 16
+CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}" % SHORTEST
 ORDINARY = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{6,}"
 #: About so many documents train the models, picked by a hash of the id; all are scanned.
 SAMPLE = 4096
@@ -63,7 +68,7 @@ def base_spans(text: Column) -> Column:
 
 
 def samples(docs: DataFrame) -> DataFrame:
-    """(random, string, weight) for training; docs: (id, text) of the sample."""
+    """(random, string) for training, each once; docs: (id, text) of the sample."""
     found = docs.select("id", "text", base_spans(F.col("text")).alias("base"))
     values = found.select(F.explode("base").alias("x")).select(F.regexp_replace(F.col("x.value"), ASSIGN, "$2").alias("string"))
     digest = F.sha2(F.coalesce(F.col("id").cast("string"), F.lit("")), 256)
@@ -71,21 +76,30 @@ def samples(docs: DataFrame) -> DataFrame:
         F.substring(digest, 1, 32), F.translate(F.base64(F.unhex(digest)), "=", ""), F.upper(F.conv(F.substring(digest, 1, 15), 16, 36)), F.conv(F.substring(digest, 17, 15), 16, 36),
     )).alias("string"))
     rest = F.aggregate("base", F.col("text"), lambda t, x: F.replace(t, x["value"], F.lit(" ")))
-    words = found.select(F.explode(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))).alias("string"))
-    tagged = values.union(known).select(F.lit(True).alias("random"), "string").union(words.select(F.lit(False), "string"))
-    counted = tagged.groupBy("random", "string").agg(F.count("*").alias("weight"))
-    return counted.filter("random OR weight > 1")
+    words = found.select(F.xxhash64("text").alias("of"), F.posexplode(F.regexp_extract_all(rest, F.lit(ORDINARY), F.lit(0))).alias("at", "string"))
+    words = words.select("string", F.xxhash64("of", "at").alias("place"))  # the same in all copies of a text
+    ordinary = words.groupBy("string").agg((F.min("place") < F.max("place")).alias("recurs")).filter("recurs")
+    return values.union(known).distinct().select(F.lit(True).alias("random"), "string").union(ordinary.select(F.lit(False), "string")).filter(F.length("string") > 1)
 
 
 def log_ratios(docs: DataFrame) -> list[float]:
-    """For each pair of characters, the log of its probability in random strings over that in ordinary ones. The counts that reach
-    the driver are at most two for each pair."""
-    strings = samples(docs).filter(F.length("string") > 1)
-    pairs = strings.select("random", "weight", F.explode(F.transform(F.sequence(F.lit(1), F.length("string") - 1), lambda i: F.substring("string", i, F.lit(2)))).alias("pair"))
+    """For each pair of characters, the log of its probability in random strings over that in ordinary ones: of a trial model
+    first, without ordinary strings of a candidate's length, then with those of them that it does not call random."""
+    strings = saved(samples(docs), "strings")
+    short = F.col("random") | (F.length("string") < SHORTEST)
+    trial = F.lit(chain(strings.filter(short)))
+    table = chain(strings.filter(short | ~likely(F.col("string"), trial)))
+    forget(strings)
+    return table
+
+
+def chain(strings: DataFrame) -> list[float]:
+    """The log ratios of a model of these strings. The counts that reach the driver are at most two for each pair."""
+    pairs = strings.select("random", F.explode(F.transform(F.sequence(F.lit(1), F.length("string") - 1), lambda i: F.substring("string", i, F.lit(2)))).alias("pair"))
     size = len(ALPHABET)
     place = {c: i for i, c in enumerate(ALPHABET)}
     counts = {True: [[0.0] * size for _ in ALPHABET], False: [[0.0] * size for _ in ALPHABET]}
-    for row in pairs.filter(F.col("pair").rlike(r"^[A-Za-z0-9+/_-]{2}$")).groupBy("random", "pair").agg(F.sum("weight").alias("n")).collect():
+    for row in pairs.filter(F.col("pair").rlike(r"^[A-Za-z0-9+/_-]{2}$")).groupBy("random", "pair").agg(F.count("*").alias("n")).collect():
         counts[row["random"]][place[row["pair"][0]]][place[row["pair"][1]]] += row["n"]
     logs = {}
     for kind, n in counts.items():
@@ -101,6 +115,11 @@ def ratio(string: Column, table: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(2), F.length(string)), F.lit(0.0), lambda s, i: s + table[at(i - 1) * len(ALPHABET) + at(i)])
 
 
+def likely(string: Column, table: Column) -> Column:
+    """Whether the models call a string random."""
+    return let(ratio(string, table), lambda r: (r >= WHOLE) & (r >= STEP * (F.length(string) - 1)))
+
+
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE, keep: tuple[str, ...] = ()) -> DataFrame:
     """(id, found, kept columns): found is array<struct<start, kind, end, value>> of every row's secrets in order of
     start, then kind; ``kind`` numbers KINDS, offsets count code points, the end is exclusive.
@@ -112,10 +131,9 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int =
     share = min(1.0, sample / max(1, rows.count()))
     picked = rows.select(F.col("__id").alias("id"), F.col("__text").alias("text")).filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < math.ceil(share * (1 << 20)))
     table = F.lit(log_ratios(picked))
-    likely = lambda x: let(ratio(x["value"], table), lambda r: (r >= WHOLE) & (r >= STEP * (F.length(x["value"]) - 1)))
     out = rows.select("__id", base_spans(F.col("__text")).alias("__base"), finds(F.col("__text"), CANDIDATE, 3).alias("__more"), *keep)
     apart = lambda x: ~F.exists("__base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    more = F.filter("__more", lambda x: apart(x) & likely(x))
+    more = F.filter("__more", lambda x: apart(x) & likely(x["value"], table))
     return out.select(F.col("__id").alias(id), F.array_sort(F.concat("__base", more)).alias("found"), *keep)
 
 

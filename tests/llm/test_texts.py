@@ -183,6 +183,16 @@ def test_markov_finds_keys_and_leaves_words(spark, docs):
     assert key in every and plain not in every
 
 
+@pytest.mark.parametrize("alike", [True, False])  # copies of one text, or one key in texts of their own
+def test_markov_finds_a_key_in_a_third_of_the_rows(spark, texts, alike):
+    key = "sk9QxZ2LmT7vB4nRw8KpYc3H"
+    plain = [t for t in texts if t and "key" not in t][:60]
+    copied = [(1000 + i, f"{plain[0] if alike else plain[i]} {key} at the end") for i in range(30)]
+    some = spark.createDataFrame([*enumerate(plain), *copied], "doc_id long, text string")
+    got = {r["doc_id"]: [x["value"] for x in r["found"] if x["kind"] == 3] for r in secret_scan.scan(some).collect()}
+    assert got == {i: [key] if i >= 1000 else [] for i in got} and len(got) == 90
+
+
 def test_redaction(spark):
     from pyspark.sql import functions as F
 
