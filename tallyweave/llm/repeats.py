@@ -1,8 +1,8 @@
 """What the two removers of repeated passages share: sampled suffixes as packed rows, and the texts without the removed windows.
 
 A sampled suffix is (prefix, whole, doc, tag, first, count): hash of its leading values, hash of all that its windows cover,
-the document, the first window and how many follow. ``tag`` tells rows of one id apart by their text, so repeated rows
-and repeated ids do no harm.
+the document, the first window and how many follow. ``tag``, the 64-bit hash of the text, tells rows of one id apart, so
+repeated rows and any number of repeated or null ids do no harm.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ GROUP_BYTES = 4 << 20
 #: Cells of the filter that tells which documents may have something to be joined.
 CELLS = 1 << 20
 
-ENTRY = np.dtype([("prefix", "<u4"), ("whole", "<u8"), ("doc", "<i8"), ("tag", "<u2"), ("first", "<u4"), ("count", "<u2")])
-SPAN = np.dtype([("doc", "<i8"), ("tag", "<u2"), ("first", "<u4"), ("last", "<u4")])
+ENTRY = np.dtype([("prefix", "<u4"), ("whole", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("first", "<u4"), ("count", "<u2")])
+SPAN = np.dtype([("doc", "<i8"), ("tag", "<i8"), ("first", "<u4"), ("last", "<u4")])
 PACKED = "bucket int, kind int, data binary"
 REMOVED, EXAMINE, SUFFIX, HOT_PREFIX = 1, 2, 3, 4
 
@@ -54,7 +54,7 @@ def unpack(data: list[bytes], kind: np.dtype) -> np.ndarray:
 def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
     """(id, key, tag, text): null ids take the last place of the order, null text is empty."""
     value = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(id).alias("id"), F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("key"), F.pmod(F.xxhash64(value), F.lit(1 << 16)).cast("int").alias("tag"), value.alias("text"))
+    return docs.select(F.col(id).alias("id"), F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("key"), F.xxhash64(value).alias("tag"), value.alias("text"))
 
 
 def buckets_for(docs: DataFrame) -> int:
@@ -196,10 +196,10 @@ def found_batch(passing: list[tuple[int, bytes]], removed: np.ndarray, examine:
         spans.append((EXAMINE, some))
     every = np.concatenate([s for _, s in spans])
     kind = np.concatenate([np.full(len(s), k, np.int32) for k, s in spans])
-    return pa.table({"kind": kind, **{n: every[n].astype(t) for n, t in (("doc", np.int64), ("tag", np.int32), ("first", np.int64), ("last", np.int64))}})
+    return pa.table({"kind": kind, **{n: every[n].astype(t) for n, t in (("doc", np.int64), ("tag", np.int64), ("first", np.int64), ("last", np.int64))}})
 
 
-FOUND = "kind int, doc long, tag int, first long, last long"
+FOUND = "kind int, doc long, tag long, first long, last long"
 
 
 def per_document(spans: DataFrame) -> DataFrame:

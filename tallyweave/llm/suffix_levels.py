@@ -53,7 +53,7 @@ def merge_scan(new: DataFrame, levels: list[DataFrame], merge: int) -> DataFrame
         kept, again, _ = R.thin(kept, True, ("prefix", "whole"))
         heat = np.unique(np.concatenate([np.zeros(0, "<u4"), *(np.frombuffer(d, "<u4") for k, a, d in zip(kinds, ages, data) if k == R.HOT_PREFIX and a <= merge)]))
         made = [(R.SUFFIX, R.pack(kept[~again])), *([(R.HOT_PREFIX, heat.tobytes())] if len(heat) else [])] if merge >= 0 else []
-        level = pa.table({"kind": pa.array([k for k, _ in made], pa.int32()), **{c: pa.nulls(len(made), t) for c, t in (("doc", pa.int64()), ("tag", pa.int32()), ("first", pa.int64()), ("last", pa.int64()))}, "bucket": pa.array([bucket] * len(made), pa.int32()), "data": pa.array([d for _, d in made], pa.binary())})
+        level = pa.table({"kind": pa.array([k for k, _ in made], pa.int32()), **{c: pa.nulls(len(made), t) for c, t in (("doc", pa.int64()), ("tag", pa.int64()), ("first", pa.int64()), ("last", pa.int64()))}, "bucket": pa.array([bucket] * len(made), pa.int32()), "data": pa.array([d for _, d in made], pa.binary())})
         return pa.concat_tables([out, level])
 
     every = new.withColumn("age", F.lit(0))
@@ -119,11 +119,11 @@ def windows_to_examine(docs: DataFrame, spans: DataFrame, width: int) -> DataFra
         for block, (of, first, size, raw, begin, prefix) in R.each_text(batches, cut):
             data = raw.tobytes()
             yield pa.record_batch(
-                [pa.array(prefix), pa.array(np.asarray(block.column(1))[of], pa.int64()), pa.array(np.asarray(block.column(2))[of], pa.int32()), pa.array(first), pa.array([data[b : b + n] for b, n in zip(begin.tolist(), size.tolist())], pa.binary())],
+                [pa.array(prefix), pa.array(np.asarray(block.column(1))[of], pa.int64()), pa.array(np.asarray(block.column(2))[of], pa.int64()), pa.array(first), pa.array([data[b : b + n] for b, n in zip(begin.tolist(), size.tolist())], pa.binary())],
                 names=["prefix", "doc", "tag", "first", "content"],
             )
 
-    return R.with_spans(docs, spans, True).mapInArrow(run, "prefix long, doc long, tag int, first long, content binary")
+    return R.with_spans(docs, spans, True).mapInArrow(run, "prefix long, doc long, tag long, first long, content binary")
 
 
 def prefix_of(values: np.ndarray, sums: np.ndarray, begin: np.ndarray, end: np.ndarray, width: int) -> np.ndarray:
@@ -159,7 +159,7 @@ def repeated_windows(contents: DataFrame, width: int) -> DataFrame:
         of = np.repeat(np.arange(len(sizes)), n)
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         where = offsets[of] + at
-        rows = np.empty(len(of), [("window", "<u8"), ("doc", "<i8"), ("tag", "<i4"), ("first", "<i8"), ("count", "<i8")])
+        rows = np.empty(len(of), [("window", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("first", "<i8"), ("count", "<i8")])
         rows["window"] = span_hashes(sums, where, where + width)
         rows["doc"], rows["tag"] = np.asarray(table.column("doc"))[of], np.asarray(table.column("tag"))[of]
         rows["first"], rows["count"] = np.asarray(table.column("first"))[of] + at, 0
@@ -171,9 +171,9 @@ def repeated_windows(contents: DataFrame, width: int) -> DataFrame:
             head = start[np.cumsum(~np.r_[False, rows["window"][1:] == rows["window"][:-1]]) - 1]
             same |= np.all([rows[c] == rows[c][head] for c in ("doc", "tag", "first")], axis=0)
         gone = R.spans_of(rows[repeated & ~same])
-        return pa.table({"doc": gone["doc"].astype(np.int64), "tag": gone["tag"].astype(np.int32), "first": gone["first"].astype(np.int64), "last": gone["last"].astype(np.int64)})
+        return pa.table({"doc": gone["doc"].astype(np.int64), "tag": gone["tag"].astype(np.int64), "first": gone["first"].astype(np.int64), "last": gone["last"].astype(np.int64)})
 
-    return rows.withColumn("group", F.pmod("prefix", F.lit(groups))).groupBy("group").applyInArrow(scan, "doc long, tag int, first long, last long")
+    return rows.withColumn("group", F.pmod("prefix", F.lit(groups))).groupBy("group").applyInArrow(scan, "doc long, tag long, first long, last long")
 
 
 def R_text(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

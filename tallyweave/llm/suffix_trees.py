@@ -54,7 +54,7 @@ def paths(docs: DataFrame, spans: DataFrame, width: int) -> DataFrame:
         return of, at - begin[of], [span_hashes(sums, at, at + d).view(np.int64) for d in depths]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = np.dtype([("short", "<i8"), ("middle", "<i8"), ("deep", "<i8"), ("doc", "<i8"), ("tag", "<i4"), ("first", "<i8")])
+        kind = np.dtype([("short", "<i8"), ("middle", "<i8"), ("deep", "<i8"), ("doc", "<i8"), ("tag", "<i8"), ("first", "<i8")])
         held: list[np.ndarray] = []
 
         def emit() -> pa.RecordBatch:
@@ -75,7 +75,7 @@ def paths(docs: DataFrame, spans: DataFrame, width: int) -> DataFrame:
             yield emit()
 
     joined = R.with_spans(docs, spans, True)
-    return joined.mapInArrow(run, "short long, middle long, deep long, doc long, tag int, first long")
+    return joined.mapInArrow(run, "short long, middle long, deep long, doc long, tag long, first long")
 
 
 def parted_by_prefix(suffixes: DataFrame, most: int) -> DataFrame:
@@ -101,9 +101,9 @@ def deep_nodes(suffixes: DataFrame, most: int = SUBTREE) -> DataFrame:
             rows[n] = np.asarray(table.column(n))
         rows, repeated, _ = R.thin(rows, False, ("short", "middle", "deep"))
         gone = rows[repeated]
-        return pa.table({"doc": gone["doc"], "tag": gone["tag"].astype(np.int32), "first": gone["first"], "last": gone["first"]})
+        return pa.table({"doc": gone["doc"], "tag": gone["tag"], "first": gone["first"], "last": gone["first"]})
 
-    return parted_by_prefix(suffixes, most).groupBy("a", "b", "c").applyInArrow(subtree, "doc long, tag int, first long, last long")
+    return parted_by_prefix(suffixes, most).groupBy("a", "b", "c").applyInArrow(subtree, "doc long, tag long, first long, last long")
 
 
 def without_repeated_words(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = WIDTH, texts: bool = False) -> DataFrame:

@@ -273,6 +273,48 @@ def test_repeated_bytes(spark, rows, no_docs, monkeypatch, batches, crowded, hot
         assert suffix_levels.without_repeated_bytes(no_docs).count() == 0
 
 
+@pytest.fixture(scope="module")
+def no_ids(spark):
+    """One long text with an id, and 3,000 of many lengths without, most of which hold a passage of it."""
+    rng = np.random.default_rng(5)
+    words = lambda n: ["%08x" % x for x in rng.integers(0, 1 << 32, n)]
+    first = words(400)
+    texts = []
+    for n in rng.integers(0, 60, 3000).tolist():
+        w, at = words(n), int(rng.integers(0, 380))
+        texts.append(" ".join([*w[: n // 3], *(first[at : at + 20] if n % 4 else []), *w[n // 3 :]]))
+    rows = [(1, " ".join(first)), *((None, t) for t in texts)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def test_repeated_words_of_many_null_ids(no_ids):
+    rows, docs = no_ids
+    first = rows[0][1].split()
+    known = {tuple(first[i : i + 13]) for i in range(len(first) - 12)}
+    want = Counter()
+    for key, t in rows:
+        w, gone = t.split(), set()
+        for i in range(len(w) - 12):
+            if key is None and tuple(w[i : i + 13]) in known:
+                gone.update(range(i, i + 13))
+        want[key, len(w), len(gone), hashlib.sha256(" ".join(x for i, x in enumerate(w) if i not in gone).encode()).hexdigest()] += 1
+    assert by(suffix_trees.without_repeated_words(docs).collect(), "doc_id", "n_words", "n_removed", "kept_sha256") == want
+
+
+def test_repeated_bytes_of_many_null_ids(no_ids):
+    rows, docs = no_ids
+    order = [(r["doc_id"], r["text"].encode()) for r in docs.selectExpr("*", "doc_id IS NULL AS last", "xxhash64(text) AS h").orderBy("last", "h").collect()]
+    seen, want = set(), Counter()
+    for key, b in order:
+        gone = bytearray(len(b))
+        for i in range(len(b) - 99):
+            if b[i : i + 100] in seen:
+                gone[i : i + 100] = b"\1" * 100
+            seen.add(b[i : i + 100])
+        want[key, len(b), sum(gone), hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()] += 1
+    assert by(suffix_levels.without_repeated_bytes(docs).collect(), "doc_id", "n_bytes", "n_removed", "kept_sha256") == want
+
+
 def test_a_worker_keeps_the_cache_of_one_operator():
     import pyarrow as pa
 
