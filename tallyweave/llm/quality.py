@@ -128,7 +128,8 @@ def held_out(id: Column, folds: int = 4, fold: int = 2) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, sample: int) -> dict[str, np.ndarray] | None:
-    """Fit on a bounded sample: rows with the smallest hashes of their ids, ``sample`` trusted positives and as many without a label."""
+    """Fit on a bounded sample: rows with the smallest hashes of their ids, ``sample`` trusted positives and as many without a label. Of rows of one id
+    that with the least hash of its text is taken."""
     known = labels.select(F.col(id).alias("id"), F.col(label).alias("label")).filter(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id")))
     row = known.agg(F.avg((F.col("label") == 1).cast("double")).alias("prior")).first()
     prior = row["prior"]
@@ -146,7 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, sa
             x = features(raw, offsets)
             yield pa.record_batch([rows.column(0), rows.column(1), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), WIDTH).cast(pa.list_(pa.float32()))], names=["id", "positive", "x"])
 
-    rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(picked, "id").select("id", "positive", "text")
+    rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(picked, "id")
+    rows = rows.groupBy("id", "positive").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one row an id, however often it is repeated
     got = rows.mapInArrow(describe, rows.select("id", "positive").schema.add("x", T.ArrayType(T.FloatType()))).toArrow()
     x = np.asarray(got.column("x").combine_chunks().flatten(), np.float64).reshape(-1, WIDTH)
     flag = np.asarray(got.column("positive"))

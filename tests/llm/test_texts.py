@@ -217,6 +217,15 @@ def test_quality_of_odd_rows(spark, docs, no_docs):
     assert {r["score"] for r in quality.quality_scores(docs, labels.limit(0)).collect()} == {1.0}
 
 
+def test_quality_learns_from_one_row_an_id(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(quality, "fit", lambda positive, unlabelled, prior: sizes.append((len(positive), len(unlabelled))))
+    rows = [(i, f"text {i} of its own") for i in range(40)] + [(i % 2 * 39, f"other text {i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    quality.quality_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), labels)
+    assert sizes == [(sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(20)), 20)]
+
+
 def keyed(rows):
     return [(r, r[0] if r[0] is not None else 1 << 62, r[1] or "") for r in rows]
 
