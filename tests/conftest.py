@@ -5,9 +5,6 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-SF = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from tools.check import session
@@ -18,8 +15,9 @@ def spark():
 @pytest.fixture(scope="session")
 def tables(spark):
     from catalogue.base import Tables
+    from tools.check import SMALL_SF
 
-    return Tables(spark, SF)
+    return Tables(spark, SMALL_SF)
 
 
 @pytest.fixture(scope="session")

@@ -64,23 +64,6 @@ def test_diffusion_map_solves_the_matrix(near, tables):
     assert dpt[root] == 0 and max(dpt.values()) == 1
 
 
-def test_grid_repulsion_is_close_to_exact():
-    rng = np.random.RandomState(1)
-    p = np.concatenate([rng.normal(size=(300, 2)), rng.normal(size=(300, 2)) * 0.2 + 8])
-    m = rng.uniform(1, 5, 600)
-    exact = graph.repulsion_solver(graph.GRIDS, 2.0)(p, m, np.column_stack([p, m]), None)
-    low = p.min(0)
-    side = (p.max(0) - low).max() * (1 + 1e-9)
-    fine = graph.GRIDS[-1]
-    at = np.minimum(((p - low) / side * fine).astype(int), fine - 1)
-    grid = np.zeros((3, fine, fine))
-    for row, value in enumerate((m, m * p[:, 0], m * p[:, 1])):
-        np.add.at(grid[row], (at[:, 0], at[:, 1]), value)
-    near = graph.repulsion_solver(graph.GRIDS, 2.0)(p, m, grid, (low[0], low[1], side))
-    error = np.linalg.norm(near - exact, axis=1) / np.linalg.norm(exact, axis=1)
-    assert np.median(error) < 0.05
-
-
 def test_harmony_mixes_batches(spark):
     rng = np.random.RandomState(2)
     rows = []

@@ -3,9 +3,7 @@
 import pytest
 
 from catalogue.registry import ORACLES, QUERIES
-from tools.check import compare, duck
-
-from conftest import SF
+from tools.check import SMALL_SF as SF, compare, duck
 
 
 @pytest.fixture(scope="module")
