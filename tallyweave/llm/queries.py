@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import crosspolytope, jaccard, mixing, multiindex, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
+from . import collocations, crosspolytope, jaccard, mixing, multiindex, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,22 @@ def nearest_neighbours(spark, folder):
 @query("op10_pack_windows")
 def pack_windows(spark, folder):
     return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query("op11_phrase_collocations", """
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i : i + k - 1])) AS g FROM words, range(1, 4) t(k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, g, count(*) AS f FROM grams GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT lang, k, g, f AS a FROM f WHERE k > 1 AND f >= 10),
+halves AS MATERIALIZED (SELECT c.*, cut, c.g[1:cut] AS head, c.g[cut + 1:] AS tail FROM candidates c, range(1, 3) t(cut) WHERE cut < c.k),
+first AS MATERIALIZED (SELECT h.*, x.f AS l FROM halves h JOIN f x ON x.lang = h.lang AND x.g = h.head),
+cuts AS (SELECT h.*, y.f AS r, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * y.f) AS BIGINT) AS score FROM first h JOIN f y ON y.lang = h.lang AND y.g = h.tail),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+longer AS (SELECT lang, g, max(a) AS a FROM (SELECT lang, g[1:2] AS g, a FROM candidates WHERE k = 3 UNION ALL SELECT lang, g[2:3], a FROM candidates WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT s.lang, array_to_string(s.g, ' ') AS phrase, s.a, l, r, score FROM scored s LEFT JOIN longer o ON s.lang = o.lang AND s.g = o.g WHERE o.a IS NULL OR 100 * o.a < 50 * s.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept JOIN total USING (lang)
+QUALIFY rank <= 2000""")
+def phrase_collocations(spark, folder):
+    return collocations.collocations(table(spark, folder, "documents"))
