@@ -28,7 +28,7 @@ SHOWN = np.arange(256, dtype=np.uint8)
 SHOWN[65:91] += 32
 SHOWN[[*b".,;:!?", *range(0x0A, 0x0E)]] = 0x0A
 #: Words that a task counts together before it hands stripes on.
-HELD = 1_500_000
+HELD = 1_000_000
 #: Parts that one first word's stripe is dealt into.
 SPLIT = 16
 #: Keys with more than this share of all words are salted in joins, so there are at most so many.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import collocations, crosspolytope, jaccard, mixing, multiindex, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
+from . import collocations, crosspolytope, divergence, jaccard, mixing, multiindex, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,22 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
 QUALIFY rank <= 2000""")
 def phrase_collocations(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query("op13_source_divergence", """
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+words AS (SELECT doc, lang, source, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS all_n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 3),
+totals AS (SELECT lang, count(*) AS v, CAST(sum(all_n) AS BIGINT) AS lang_n FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*) AS c FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT g.lang, g.source, coalesce(CAST(n AS BIGINT), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL) USING (lang, source)),
+shares AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c, 0) + 1)) // (g.n + v) AS p, 1 + (1000000000::HUGEINT * (all_n + 1)) // (lang_n + v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN totals USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM shares WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM parts
+QUALIFY part = 'pair' OR rank <= 200""")
+def source_audit(spark, folder):
+    return divergence.source_divergence(table(spark, folder, "documents"))
