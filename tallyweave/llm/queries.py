@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import collocations, crosspolytope, divergence, jaccard, mixing, multiindex, packing, quality, secret_scan, suffix_levels, suffix_trees, token_counts
+from . import collocations, crosspolytope, divergence, jaccard, mixing, multiindex, packing, personal, quality, secret_scan, suffix_levels, suffix_trees, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,6 +120,15 @@ def phrase_collocations(spark, folder):
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+@query("op12_personal_data")
+def personal_data(spark, folder):
+    rows = personal.scan(table(spark, folder, "documents"))
+    base = F.filter("found", lambda x: x["kind"] < 4)
+    n = lambda k: F.size(F.filter("found", lambda x: x["kind"] == k)).cast("long")
+    counts = [n(k).alias(f"n_{kind}") for k, kind in enumerate(personal.KINDS[:4])]
+    return rows.select("doc_id", *counts, F.sha2(personal.as_text(base), 256).alias("base_sha256"), personal.as_text(F.col("found")).alias("spans"))
+
+
 @query("op13_source_divergence", """
 WITH d AS (SELECT row_number() OVER () AS doc, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
 words AS (SELECT doc, lang, source, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
