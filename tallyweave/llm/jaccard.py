@@ -381,14 +381,17 @@ def joined_up(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def large_entries(members: DataFrame, sets: DataFrame, labels: DataFrame, done: DataFrame, percent: int) -> DataFrame:
     """Labels once all links within large entries are known. In each round every entry's sets are compared with one of them, another each time,
-    unless they are in its component; entries of near copies soon are one component. When a round finds nothing new, the
-    sets that are still apart are compared pair by pair."""
+    unless they are in its component; entries of near copies soon are one component. The set with the least share of rare shingles is
+    taken, after the first round of a random half of the components: copies with changes of their own reach the bound by frequent shingles
+    exactly where they are similar enough to the unchanged text. Sets that are still apart are compared pair by pair."""
     sizes = 100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")
     near = sizes & ((100 + percent) * F.least(F.coalesce("f", "n"), F.coalesce("f_b", "n_b")) >= percent * (F.col("n") + F.col("n_b")))
     for turn in range(ROUNDS + 1):
         rows = saved(apart(members, labels), "apart")
         if turn < ROUNDS:
-            hub = rows.groupBy("entry").agg(F.min(F.struct(F.xxhash64("a", F.lit(turn)).alias("h"), F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b"), F.col("component").alias("of_b"))).alias("hub")).select("entry", "hub.b", "hub.n_b", "hub.f_b", "hub.of_b")
+            part = F.lit(0) if turn == 0 else F.pmod(F.xxhash64("component", F.lit(turn)), F.lit(2))
+            order = F.struct(part.alias("part"), (F.lit(1.0) - F.coalesce("f", "n") / F.col("n")).alias("own"), F.xxhash64("a", F.lit(turn)).alias("h"), F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("f").alias("f_b"), F.col("component").alias("of_b"))
+            hub = rows.groupBy("entry").agg(F.min(order).alias("hub")).select("entry", "hub.b", "hub.n_b", "hub.f_b", "hub.of_b")
             pairs = rows.join(hub, "entry").filter((F.col("component") != F.col("of_b")) & near)
         else:
             # two sets meet in many entries; those that are known to have met in a smaller one are not paired again
