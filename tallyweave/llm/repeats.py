@@ -1,7 +1,7 @@
 """What the two removers of repeated passages share: sampled suffixes as packed rows, and the texts without the removed windows.
 
 A sampled suffix is (prefix, whole, doc, tag, first, count): hash of its leading values, hash of all that its windows cover,
-the document, the first window and how many follow. ``tag``, the 64-bit hash of the text, tells rows of one id apart, so
+the document, the first window and how many follow. ``tag``, the 64-bit hash of the text where ids repeat, tells rows of one id apart, so
 repeated rows and any number of repeated or null ids do no harm.
 """
 
@@ -52,9 +52,12 @@ def unpack(data: list[bytes], kind: np.dtype) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """(id, key, tag, text): null ids take the last place of the order, null text is empty."""
+    """(id, key, tag, text): null ids take the last place of the order, null text is empty. Where no id repeats, only rows of
+    null ids need tags and the others have 0, which packs to nothing."""
     value = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(id).alias("id"), F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("key"), F.xxhash64(value).alias("tag"), value.alias("text"))
+    repeats = docs.groupBy(F.col(id).alias("id")).count().filter("id IS NOT NULL AND count > 1").limit(1).count()
+    tag = F.xxhash64(value) if repeats else F.when(F.col(id).isNull(), F.xxhash64(value)).otherwise(F.lit(0).cast("long"))
+    return docs.select(F.col(id).alias("id"), F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("key"), tag.alias("tag"), value.alias("text"))
 
 
 def buckets_for(docs: DataFrame) -> int:
