@@ -110,22 +110,13 @@ SELECT cell_id, k AS n_features, round(total.s + coalesce(extra.s, 0), 4) AS vec
 FROM cells LEFT JOIN extra USING (cell_id), total""")
 def _(t):
     chosen = qc.selected_genes(qc.variable_genes_mvp(t.expr, t.cells))
-    vecs = qc.scale_clip(t.expr, t.cells, chosen)
-    add = lambda a, v: a + v
-    return rounded(
-        rounded(
-            vecs.select(
-                "cell_id",
-                F.size("vec").cast("long").alias("n_features"),
-                F.aggregate("vec", F.lit(0.0), add).alias("vec_sum"),
-                F.aggregate(F.transform("vec", lambda v, i: v * (i + 1)), F.lit(0.0), add).alias("vec_dot"),
-            ),
-            4,
-            "vec_sum",
-        ),
-        3,
-        "vec_dot",
-    )
+    scaled = qc.scale_clip(t.expr, t.cells, chosen)
+    whole = scaled.base.agg(F.struct(F.count("*").alias("k"), F.sum("base").alias("s"), F.sum((F.col("pos") + 1) * F.col("base")).alias("d")).alias("w")).scalar()
+    extra = F.aggregate("off", F.lit(0.0), lambda a, v: a + v)
+    weighted = F.aggregate(F.zip_with("at", "off", lambda i, v: (i + 1) * v), F.lit(0.0), lambda a, v: a + v)
+    rows = scaled.rows.withColumn("w", whole)
+    out = rows.select("cell_id", F.col("w.k").alias("n_features"), (F.coalesce("w.s", F.lit(0.0)) + extra).alias("vec_sum"), (F.coalesce("w.d", F.lit(0.0)) + weighted).alias("vec_dot"))
+    return rounded(rounded(out, 4, "vec_sum"), 3, "vec_dot")
 
 
 @query("downsample_per_label", f"""WITH {CELLS} SELECT cell_id, label FROM cells

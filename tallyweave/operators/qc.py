@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.formulas import hash_order
 from .scale import join_hot, lookup_join, require
+from .sparse import scale_clip  # noqa: F401  scaled values live in a module of their own
 
 MAX_FEATURES = 10_000
 """Widest dense vector per cell; wider gene sets stay in long form."""
@@ -104,19 +105,37 @@ def _binned_dispersion(genes: DataFrame, bins: int) -> DataFrame:
 
 
 def variable_genes_mvp(
-    expr: DataFrame, cells: DataFrame, x_low: float = 0.0125, x_high: float = 3.0, y: float = 0.625, bins: int = 20
+    expr: DataFrame, cells: DataFrame, x_low: float = 0.0125, x_high: float = 3.0, y: float = 0.625, bins: int = 20, by: str | None = None
 ) -> DataFrame:
-    """Mean and variance-to-mean ratio of the un-logged values; z-score of the dispersion in mean bins."""
-    m = gene_moments(expr, cells, F.expm1("x"))
+    """Mean and variance-to-mean ratio of the un-logged values; z-score of the dispersion in mean bins.
+
+    With ``by`` (a column of cells) every key has its own means, bins and choice."""
+    keys = [by] if by else []
+    if by:
+        n = cells.groupBy(by).agg(F.count(F.lit(1)).cast("double").alias("n_cells"))
+        v = F.expm1("x")
+        sums = expr.join(cells.select("cell_id", by), "cell_id").groupBy(by, "gene_id").agg(F.sum(v).alias("s1"), F.sum(v * v).alias("s2"))
+        m = lookup_join(sums, n, [by], "inner")
+        m = m.withColumn("mean", F.col("s1") / F.col("n_cells")).withColumn("var", (F.col("s2") - F.col("s1") * F.col("s1") / F.col("n_cells")) / F.when(F.col("n_cells") > 1, F.col("n_cells") - 1))
+    else:
+        m = gene_moments(expr, cells, F.expm1("x"))
     dispersion = F.when((F.col("var") > 0) & (F.col("mean") > 0), F.log(F.col("var") / F.col("mean")))
-    genes = m.select("gene_id", F.log(F.col("mean") + 1).alias("mean"), F.coalesce(dispersion, F.lit(0.0)).alias("dispersion"))
+    genes = m.select(*keys, "gene_id", F.log(F.col("mean") + 1).alias("mean"), F.coalesce(dispersion, F.lit(0.0)).alias("dispersion"))
     z = F.when(F.col("bin_sd") > 0, (F.col("dispersion") - F.col("bin_mean")) / F.col("bin_sd"))
     keep = (F.col("mean") > x_low) & (F.col("mean") < x_high) & (F.col("z") > y)
-    return (
-        _binned_dispersion(genes, bins)
-        .withColumn("z", F.coalesce(z, F.lit(0.0)))
-        .select("gene_id", "mean", "dispersion", "z", keep.alias("selected"))
-    )
+    binned = _binned_by(genes, bins, by) if by else _binned_dispersion(genes, bins)
+    return binned.withColumn("z", F.coalesce(z, F.lit(0.0))).select(*keys, "gene_id", "mean", "dispersion", "z", keep.alias("selected"))
+
+
+def _binned_by(genes: DataFrame, bins: int, by: str) -> DataFrame:
+    """Equal-width bins of ``mean`` inside each key, with the bin's average and sd of ``dispersion``; windows over genes, not cells."""
+    whole = Window.partitionBy(by)
+    low, high = F.min("mean").over(whole), F.max("mean").over(whole)
+    step = (high - low) / F.lit(float(bins))
+    at = F.when(step > 0, F.ceil((F.col("mean") - low) / step)).otherwise(1)
+    genes = genes.withColumn("bin", F.least(F.lit(bins), F.greatest(F.lit(1), at)).cast("int"))
+    own = Window.partitionBy(by, "bin")
+    return genes.withColumns({"bin_mean": F.avg("dispersion").over(own), "bin_sd": F.stddev_samp("dispersion").over(own)})
 
 
 def variable_genes_dispersion(
@@ -155,32 +174,6 @@ def feature_index(genes: DataFrame) -> dict[object, int]:
     return {g: i for i, g in enumerate(ids)}
 
 
-def scale_clip(expr: DataFrame, cells: DataFrame, genes: DataFrame, top: float = 10.0) -> DataFrame:
-    """Per gene ``(x - mean) / sd`` clipped above at ``top``: one dense vector per cell, zeros included.
-
-    A cell starts from the vector every all-zero cell has, and its non-zero genes overwrite their places.
-    """
-    index = feature_index(genes)
-    spark = expr.sparkSession
-    gene_kind = expr.schema["gene_id"].dataType.simpleString()
-    chosen = spark.createDataFrame(list(index.items()), f"gene_id {gene_kind}, _i int")
-    picked = expr.join(F.broadcast(chosen), "gene_id").select("cell_id", "gene_id", "_i", "x")  # <= MAX_FEATURES rows
-    m = gene_moments(picked, cells).select("gene_id", "mean", F.sqrt("var").alias("sd"))
-    m = chosen.join(m, "gene_id", "left").select("_i", "mean", "sd").collect()  # <= MAX_FEATURES rows
-    base = [0.0] * len(index)
-    params = []
-    for i, mean, sd in m:
-        ok = sd is not None and sd > 0
-        params.append((i, mean if ok else 0.0, sd if ok else 0.0))
-        base[i] = min(top, -mean / sd) if ok else 0.0
-    table = F.broadcast(spark.createDataFrame(params, "_i int, _mean double, _sd double"))
-    scaled = F.when(F.col("_sd") > 0, F.least(F.lit(float(top)), (F.col("x") - F.col("_mean")) / F.col("_sd"))).otherwise(0.0)
-    per_cell = picked.join(table, "_i").groupBy("cell_id").agg(
-        F.collect_list("_i").alias("_at"), F.collect_list(scaled).alias("_to")
-    )
-    return dense_vectors(cells.select("cell_id").join(per_cell, "cell_id", "left"), base, "vec")
-
-
 def dense_vectors(sparse: DataFrame, base: list[float], name: str) -> DataFrame:
     """(cell_id, ``name``): copies of ``base`` with the values ``_to`` written at the places ``_at``.
 

@@ -4,64 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .scale import materialise, require
+from . import sparse
+from .scale import materialise
 
 
-def _fit(rows: DataFrame, k: int):
-    """Loadings (dim x k, largest entry of each column positive), variance shares and column means."""
-    import numpy as np
-    from pyspark.ml.feature import PCA
-    from pyspark.ml.functions import array_to_vector
-    from pyspark.ml.stat import Summarizer
-
-    vectors = rows.select(array_to_vector("vec").alias("features"))
-    model = PCA(k=k, inputCol="features", outputCol="scores").fit(vectors)
-    mean = vectors.select(Summarizer.mean(F.col("features")).alias("m")).first()["m"].toArray()
-    w = model.pc.toArray()
-    top = np.abs(w).argmax(0)
-    w = w * np.where(w[top, np.arange(w.shape[1])] < 0, -1.0, 1.0)
-    return w, model.explainedVariance.toArray(), mean
-
-
-def _project(rows: DataFrame, w, mean) -> DataFrame:
-    def scores(frames):
-        import numpy as np
-        import pandas as pd
-
-        for pdf in frames:
-            if len(pdf):
-                yield pd.DataFrame({"cell_id": pdf["cell_id"], "vec": list((np.stack(pdf["vec"].to_numpy()) - mean) @ w)})
+def _of_vectors(vecs: DataFrame, k: int | None, share: float | None) -> tuple[DataFrame, DataFrame]:
+    rows, widths = sparse.from_dense(vecs)
+    scores, loadings = sparse.components(rows, widths, k, share)
+    return scores.select("cell_id", "vec"), loadings.select("component", "share", "loading", "eigenvalue")
 
-    kind = rows.schema["cell_id"].dataType.simpleString()
-    return rows.select("cell_id", "vec").mapInPandas(scores, f"cell_id {kind}, vec array<double>")
 
+def pca(vecs: DataFrame | sparse.Scaled, k: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Scores (cell_id, vec) and loadings (component, share, loading, eigenvalue) of centred vectors or scaled cells.
 
-def _loadings(rows: DataFrame, w, share) -> DataFrame:
-    table = [(i, float(share[i]), [float(v) for v in w[:, i]]) for i in range(w.shape[1])]
-    return rows.sparkSession.createDataFrame(table, "component int, share double, loading array<double>")
+    The largest entry of each loading is positive.  Nothing sized by cells leaves the executors."""
+    if isinstance(vecs, sparse.Scaled):
+        scores, loadings = sparse.pca(vecs, k)
+        return scores.select("cell_id", "vec"), loadings.select("component", "share", "loading", "eigenvalue")
+    return _of_vectors(vecs, k, None)
 
 
-def pca(vecs: DataFrame, k: int = 20) -> tuple[DataFrame, DataFrame]:
-    """Scores (cell_id, vec) and loadings (component, share, loading) of centred vectors.
-
-    The driver holds the square of the vector width (chosen genes), never anything sized by cells.
-    """
-    require(vecs, "cell_id", "vec")
-    rows = materialise(vecs.select("cell_id", "vec"))
-    k = min(k, len(rows.select("vec").first()[0]))
-    w, share, mean = _fit(rows, k)
-    return _project(rows, w, mean), _loadings(rows, w, share)
-
-
-def pca_variance(vecs: DataFrame, share: float = 0.8, kmax: int = 100) -> tuple[DataFrame, DataFrame]:
-    """The fewest components (at most ``kmax``) that explain ``share`` of the variance."""
-    import numpy as np
-
-    rows = materialise(vecs.select("cell_id", "vec"))
-    kmax = min(kmax, len(rows.select("vec").first()[0]))
-    w, shares, mean = _fit(rows, kmax)
-    k = min(int(np.searchsorted(np.cumsum(shares), share)) + 1, kmax)
-    return _project(rows, w[:, :k], mean), _loadings(rows, w[:, :k], shares[:k])
+def pca_variance(vecs: DataFrame | sparse.Scaled, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """The fewest components that explain ``share`` of the variance."""
+    if isinstance(vecs, sparse.Scaled):
+        scores, loadings = sparse.pca(vecs, share=share)
+        return scores.select("cell_id", "vec"), loadings.select("component", "share", "loading", "eigenvalue")
+    return _of_vectors(vecs, None, share)
 
 
 MAX_BATCHES = 1000
