@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallyweave.functions.formulas import upper_normal
-from tallyweave.operators import doublets, learn, qc, reduce
+from tallyweave.operators import doublets, learn, qc, reduce, sparse
 from tallyweave.operators.scale import scratch_dir
 
-from .base import CELLS, COUNTS, EXPR, HVG, query, rounded
+from .base import CELLS, COUNTS, EMB, EXPR, HVG, query, rounded
 
 
 @query("pca")
@@ -23,6 +23,36 @@ def _(t):
     return reduce.pca_variance(t.emb, 0.8)[1]
 
 
+# The spectrum as its power sums, which the covariance matrix C gives as traces of C, CC and CCC.
+@query("pca_spectrum", f"""WITH {EMB}, long AS (SELECT cell_id, unnest(range(1, len(vec) + 1)) AS i, unnest(vec) AS x FROM emb),
+centred AS (SELECT cell_id, i, x - avg(x) OVER (PARTITION BY i) AS x FROM long),
+c AS MATERIALIZED (SELECT a.i, b.i AS j, sum(a.x * b.x) / ((SELECT count(*) FROM emb) - 1) AS v FROM centred a JOIN centred b USING (cell_id) GROUP BY 1, 2),
+cc AS MATERIALIZED (SELECT a.i, b.j, sum(a.v * b.v) AS v FROM c a JOIN c b ON a.j = b.i GROUP BY 1, 2)
+SELECT 1 AS power, round(sum(v), 6) AS total FROM c WHERE i = j UNION ALL SELECT 2, round(sum(v), 6) FROM cc WHERE i = j
+UNION ALL SELECT 3, round(sum(c.v * cc.v), 6) FROM c JOIN cc ON c.i = cc.j AND c.j = cc.i""")
+def _(t):
+    loadings = reduce.pca_variance(t.emb, 1.0)[1]
+    powers = loadings.select(F.explode(F.array(*[F.struct(F.lit(m).alias("power"), F.pow("eigenvalue", F.lit(float(m))).alias("v")) for m in (1, 2, 3)])).alias("x"))
+    return rounded(powers.groupBy("x.power").agg(F.sum("x.v").alias("total")), 6, "total")
+
+
+# the same for scaled variable genes, zeros and clipping included; unexplained: greatest distance of a score's variance from its eigenvalue
+@query("pca_scaled_spectrum", f"""WITH {EXPR}, {CELLS}, {HVG}, nc AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM cells),
+ms AS (SELECT gene_id, sum(x) / max(n) AS m, sqrt((sum(x * x) - sum(x) * sum(x) / max(n)) / (max(n) - 1)) AS sd FROM expr JOIN hvg USING (gene_id), nc WHERE selected GROUP BY 1),
+dev AS MATERIALIZED (SELECT cell_id, gene_id, least(10, (x - m) / sd) - least(10, -m / sd) AS d FROM expr JOIN ms USING (gene_id) WHERE sd > 0),
+mean AS MATERIALIZED (SELECT gene_id, sum(d) / max(n) AS s FROM dev, nc GROUP BY 1),
+g AS MATERIALIZED (SELECT a.gene_id AS i, b.gene_id AS j, sum(a.d * b.d) AS v FROM dev a JOIN dev b USING (cell_id) GROUP BY 1, 2),
+c AS MATERIALIZED (SELECT a.gene_id AS i, b.gene_id AS j, (coalesce(v, 0) - n * a.s * b.s) / (n - 1) AS v FROM mean a CROSS JOIN mean b CROSS JOIN nc LEFT JOIN g ON g.i = a.gene_id AND g.j = b.gene_id)
+SELECT round(sum(CASE WHEN i = j THEN v ELSE 0 END), 5) AS variance, round(sum(v * v), 4) AS squares, 0e0 AS unexplained FROM c""")
+def _(t):
+    chosen = qc.selected_genes(qc.variable_genes_mvp(t.expr, t.cells))
+    scores, loadings = sparse.pca(qc.scale_clip(t.expr, t.cells, chosen), share=1.0)
+    per = scores.select(F.posexplode("vec").alias("component", "v")).groupBy("component").agg(F.var_samp("v").alias("variance"))
+    off = per.join(loadings, "component").agg(F.round(F.max(F.abs(F.col("variance") - F.col("eigenvalue"))), 6).alias("unexplained"))
+    out = loadings.agg(F.sum("eigenvalue").alias("variance"), F.sum(F.col("eigenvalue") * F.col("eigenvalue")).alias("squares"))
+    return rounded(rounded(rounded(out.withColumn("unexplained", off.scalar()), 5, "variance"), 4, "squares"), 6, "unexplained")
+
+
 @query("harmony")
 def _(t):
     return reduce.harmony(t.emb, t.emb_cells, "batch", rounds=3, inner=3)
@@ -172,12 +202,7 @@ def _(t):
 
 @query("doublet_score")
 def _(t):
-    return doublets.doublet_score(t.counts, t.cells.select("cell_id", "batch"), "batch", ratio=1, genes=_score_genes(t))
-
-
-def _score_genes(t):
-    """The genes seen in most cells, as a user would list them."""
-    return qc.gene_stats(t.counts).orderBy(F.col("n_cells").desc(), "gene_id").limit(50).select("gene_id")
+    return doublets.doublet_score(t.counts, t.cells.select("cell_id", "batch"), "batch")
 
 
 @query("gmm")

@@ -130,13 +130,6 @@ def test_gene_order_is_a_permutation(tables, metric):
     assert len({r["gene_id"] for r in out}) == len(out) == prof.select("gene_id").distinct().count()
 
 
-def test_doublet_score_is_a_share(tables):
-    genes = qc.gene_stats(tables.counts).orderBy(F.col("n_cells").desc(), "gene_id").limit(20).select("gene_id")
-    out = doublets.doublet_score(tables.counts, tables.cells.select("cell_id", "batch"), "batch", genes=genes, ratio=1)
-    low, high, n = out.agg(F.min("score"), F.max("score"), F.count("*")).first()
-    assert 0 <= low <= high <= 1.5 and n == 1500
-
-
 def test_log_factorial(spark):
     import math
 
