@@ -37,12 +37,12 @@ def _(t):
 
 
 # the same for scaled variable genes, zeros and clipping included; unexplained: greatest distance of a score's variance from its eigenvalue
-@query("pca_scaled_spectrum", f"""WITH {EXPR}, {CELLS}, {HVG}, nc AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM cells),
-ms AS (SELECT gene_id, sum(x) / max(n) AS m, sqrt((sum(x * x) - sum(x) * sum(x) / max(n)) / (max(n) - 1)) AS sd FROM expr JOIN hvg USING (gene_id), nc WHERE selected GROUP BY 1),
+@query("pca_scaled_spectrum", f"""WITH {EXPR}, {CELLS}, {HVG}, nc AS (SELECT CAST(count(*) AS DOUBLE) AS n_all FROM cells),
+ms AS (SELECT gene_id, sum(x) / max(n_all) AS m, sqrt((sum(x * x) - sum(x) * sum(x) / max(n_all)) / (max(n_all) - 1)) AS sd FROM expr JOIN hvg USING (gene_id), nc WHERE selected GROUP BY 1),
 dev AS MATERIALIZED (SELECT cell_id, gene_id, least(10, (x - m) / sd) - least(10, -m / sd) AS d FROM expr JOIN ms USING (gene_id) WHERE sd > 0),
-mean AS MATERIALIZED (SELECT gene_id, sum(d) / max(n) AS s FROM dev, nc GROUP BY 1),
+mean AS MATERIALIZED (SELECT gene_id, sum(d) / max(n_all) AS s FROM dev, nc GROUP BY 1),
 g AS MATERIALIZED (SELECT a.gene_id AS i, b.gene_id AS j, sum(a.d * b.d) AS v FROM dev a JOIN dev b USING (cell_id) GROUP BY 1, 2),
-c AS MATERIALIZED (SELECT a.gene_id AS i, b.gene_id AS j, (coalesce(v, 0) - n * a.s * b.s) / (n - 1) AS v FROM mean a CROSS JOIN mean b CROSS JOIN nc LEFT JOIN g ON g.i = a.gene_id AND g.j = b.gene_id)
+c AS MATERIALIZED (SELECT a.gene_id AS i, b.gene_id AS j, (coalesce(v, 0) - n_all * a.s * b.s) / (n_all - 1) AS v FROM mean a CROSS JOIN mean b CROSS JOIN nc LEFT JOIN g ON g.i = a.gene_id AND g.j = b.gene_id)
 SELECT round(sum(CASE WHEN i = j THEN v ELSE 0 END), 5) AS variance, round(sum(v * v), 4) AS squares, 0e0 AS unexplained FROM c""")
 def _(t):
     chosen = qc.selected_genes(qc.variable_genes_mvp(t.expr, t.cells))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyweave.functions.formulas import two_sided_normal, upper_f
+from tallyweave.functions.formulas import two_sided_normal
 from tallyweave.operators import markers, profile, qc
 
-from .base import CELLS, COUNTS, EXPR, GENES, query, rounded
+from .base import CELLS, COUNTS, EXPR, GENES, beta_sql, query, rounded
 
 
 def scored_sql(source: str, n_genes: str) -> str:
@@ -206,7 +206,7 @@ per AS (SELECT grp, gene_id, max(nc) AS n, sum(x * x) - sum(x) * sum(x) / max(nc
   FROM expr JOIN q3 USING (cell_id) GROUP BY 1, 2),
 fit AS (SELECT grp, gene_id, n, rss0, d1 * d1 / s1 + d2 * d2 / s2 + d3 * d3 / s3 AS gain FROM per JOIN norms USING (grp)),
 fstat AS (SELECT grp, gene_id, n, gain / 3 * (n - 4) / (rss0 - gain) AS f FROM fit),
-trend AS (SELECT grp, gene_id, f, {upper_f("f", "3e0", "n - 4e0")} AS p FROM fstat)"""
+trend AS (SELECT grp, gene_id, f, {beta_sql("(n - 4) / (n - 4 + 3 * greatest(f, 0))", "(n - 4) / 2", "1.5e0")} AS p FROM fstat)"""
 
 
 @query("trend_genes", f"""WITH {EXPR}, {CELLS}, {spline_sql(None)}

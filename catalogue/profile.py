@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyweave.functions.formulas import two_sided_student
 from tallyweave.operators import profile, qc
 
-from .base import CELLS, EXPR, GENES, HVG, query, rounded
+from .base import CELLS, EXPR, GENES, HVG, beta_sql, query, rounded
 from .markers import LISTED, listed
 
 PROFILE = """sizes AS (SELECT label, count(*) AS n1 FROM cells GROUP BY 1),
@@ -85,7 +84,7 @@ def _(t):
 
 
 @query("correlation_pvalue", f"""WITH {CORRELATION}, tt AS (SELECT *, rho * sqrt((n - 2) / (1 - rho * rho)) AS t FROM cor)
-SELECT label_q, label_r, round(rho, 6) + 0e0 AS rho, n, round(t, 5) + 0e0 AS t, round({two_sided_student("t", "n - 2e0")}, 6) AS p FROM tt""")
+SELECT label_q, label_r, round(rho, 6) + 0e0 AS rho, n, round(t, 5) + 0e0 AS t, round({beta_sql("(n - 2) / (n - 2 + t * t)", "(n - 2) / 2e0", "0.5e0")}, 6) AS p FROM tt""")
 def _(t):
     return rounded(rounded(profile.correlation_pvalue(_correlation(t)), 6, "rho", "p"), 5, "t")
 

@@ -1,11 +1,13 @@
 """Scalar formulas written as SQL text.
 
-Spark has no normal, Student or F distribution functions, so the tails are closed-form approximations
-over built-in scalars.  Every function takes and returns SQL text, to be wrapped with ``F.expr``.
+Spark has no normal, Student or F distribution functions, so the tails are built from its scalars.  Normal tails take and
+return SQL text, to be wrapped with ``F.expr``; the others take and return columns.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 # Chebyshev fit of ln(erfc) in t = 1 / (1 + x / 2), fractional error below 1.2e-7 for every x, constant term first.
@@ -30,18 +32,45 @@ def upper_normal(z: str) -> str:
     return f"(CASE WHEN {z} >= 0 THEN {half} ELSE 1e0 - {half} END)"
 
 
-def two_sided_student(t: str, v: str) -> str:
-    """P(|T| >= |t|) with ``v`` degrees of freedom, by Wallace's transform to a normal."""
-    z = f"((8e0 * ({v}) + 1e0) / (8e0 * ({v}) + 3e0) * sqrt(({v}) * ln(1e0 + ({t}) * ({t}) / ({v}))))"
-    return two_sided_normal(z)
+def ln_gamma(x: Column) -> Column:
+    """ln of the gamma function of positive numbers: Stirling's series eight places further up, and back by the recurrence."""
+    y = x + 8
+    series = 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y) - 1 / (1680 * F.pow(y, F.lit(7.0)))
+    down = F.log(x)
+    for i in range(1, 8):
+        down = down + F.log(x + i)
+    return (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + series - down
+
+
+def incomplete_beta(x: Column, a: Column, b: Column) -> Column:
+    """The regularised incomplete beta function, by its continued fraction evaluated from the far end.
+
+    The fraction converges for x below (a + 1) / (a + b + 2), in about the square root of the greater parameter of steps; above, the
+    function is taken from the other side.  1 from x = 1 on, 0 up to x = 0."""
+
+    def side(x: Column, rest: Column, a: Column, b: Column) -> Column:
+        def term(i: Column) -> Column:
+            m = F.floor(i / 2)
+            odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+            return F.when(i % 2 == 1, odd).otherwise(m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)))
+
+        steps = (60 + 6 * F.ceil(F.sqrt(F.greatest(a, b)))).cast("int")
+        value = F.aggregate(F.sequence(steps, F.lit(1), F.lit(-1)), F.lit(1.0), lambda v, i: 1 + term(i) / v)
+        return F.exp(a * F.log(x) + b * F.log(rest) - F.log(a) - ln_gamma(a) - ln_gamma(b) + ln_gamma(a + b)) / value
+
+    low = x < (a + 1) / (a + b + 2)
+    inside = F.when(low, side(x, 1 - x, a, b)).otherwise(1 - side(1 - x, x, b, a))
+    return F.when(x >= 1, F.lit(1.0)).when(x <= 0, F.lit(0.0)).otherwise(inside)
+
+
+def two_sided_student(t: Column, v: Column) -> Column:
+    """P(|T| >= |t|) with ``v`` degrees of freedom."""
+    return incomplete_beta(v / (v + t * t), v / 2, F.lit(0.5))
 
 
-def upper_f(f: str, d1: str, d2: str) -> str:
-    """P(F >= f), by Paulson's cube-root transform to a normal."""
-    a1 = f"(2e0 / (9e0 * ({d1})))"
-    a2 = f"(2e0 / (9e0 * ({d2})))"
-    root = f"pow(greatest({f}, 0e0), 1e0 / 3e0)"
-    return upper_normal(f"(((1e0 - {a2}) * {root} - (1e0 - {a1})) / sqrt({a2} * {root} * {root} + {a1}))")
+def upper_f(f: Column, d1: Column, d2: Column) -> Column:
+    """P(F >= f)."""
+    return incomplete_beta(d2 / (d2 + d1 * F.greatest(f, F.lit(0.0))), d2 / 2, d1 / 2)
 
 
 def hash_int(text: Column) -> Column:

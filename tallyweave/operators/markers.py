@@ -385,7 +385,7 @@ def trend_genes(expr: DataFrame, cells: DataFrame, pseudotime: str, by: str | No
     out = sums.select(
         *keys, "gene_id", "m00", (gain / 3.0).alias("_num"), (rss0 - gain).alias("_rss1")
     ).withColumn("f", ratio(F.col("_num") * (F.col("m00") - 4), F.greatest("_rss1", F.lit(0.0))))
-    out = out.withColumn("p", F.expr(bind("f", "v", upper_f("v", "3e0", "m00 - 4e0")))).select(*keys, "gene_id", "f", "p")
+    out = out.withColumn("p", upper_f(F.col("f"), F.lit(3.0), F.col("m00") - 4)).select(*keys, "gene_id", "f", "p")
     return bh_adjust(materialise(out), "p", by)
 
 

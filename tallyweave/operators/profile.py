@@ -113,7 +113,7 @@ def correlation_pvalue(corr: DataFrame) -> DataFrame:
     """t statistic and two-sided p of each correlation."""
     left = 1 - F.col("rho") * F.col("rho")
     t = F.when(left > 0, F.col("rho") * F.sqrt((F.col("n") - 2) / left))
-    p = F.when(left > 0, F.expr(two_sided_student("t", "n - 2e0"))).otherwise(0.0)
+    p = F.when(left > 0, two_sided_student(F.col("t"), (F.col("n") - 2).cast("double"))).otherwise(0.0)
     return corr.withColumn("t", t).withColumn("p", p)
 
 

@@ -60,8 +60,8 @@ def contingency(cells: DataFrame, c1: str, c2: str, by: str | None = None) -> Da
 
 
 def with_cell_total(counts: DataFrame) -> DataFrame:
-    totals = counts.groupBy("cell_id").agg(F.sum("n").alias("_total"), F.count(F.lit(1)).alias("_rows"))
-    return join_hot(counts, totals, ["cell_id"], "_rows")
+    """A cell has at most one row per gene, so a window over it is bounded."""
+    return counts.withColumn("_total", F.sum("n").over(Window.partitionBy("cell_id")))
 
 
 def normalise_per_cell(counts: DataFrame, target: float = 1e4) -> DataFrame:

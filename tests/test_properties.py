@@ -256,3 +256,25 @@ def test_normal_tail_far_out(spark):
 
     rows = spark.createDataFrame([(z,) for z in (0.0, 0.5, 4.0, 10.0, 20.0, -30.0)], "z double").selectExpr("z", f"{two_sided_normal('z')} AS p").collect()
     assert all(abs(r["p"] / erfc(abs(r["z"]) / sqrt(2)) - 1) < 2e-7 for r in rows)
+
+
+def test_student_and_f_tails_far_out(spark):
+    """Beside fine numerical integration of the densities."""
+    import math
+
+    from tallyweave.functions.formulas import two_sided_student, upper_f
+
+    def beta(x, a, b):
+        r = np.linspace(0, 9, 400_001)
+        y = 2 * r * np.exp(-r * r) * np.maximum(1 - x * np.exp(-r * r / a), 1e-300) ** (b - 1)
+        area = (y[0] + y[-1] + 4 * y[1:-1:2].sum() + 2 * y[2:-1:2].sum()) * (r[1] - r[0]) / 3
+        return math.exp(a * math.log(x) - math.log(a) - math.lgamma(a) - math.lgamma(b) + math.lgamma(a + b)) * area
+
+    ts = [(float(t), float(v)) for t in (0.3, 1, 4, 6, -6, 30) for v in (3, 8, 60, 20_000)]
+    got = spark.createDataFrame(ts, "t double, v double").select("t", "v", two_sided_student(F.col("t"), F.col("v")).alias("p")).collect()
+    assert all(abs(r["p"] / beta(r["v"] / (r["v"] + r["t"] ** 2), r["v"] / 2, 0.5) - 1) < 1e-6 for r in got)
+    fs = [(float(f), float(d)) for f in (0.05, 1, 8, 15, 30, 300) for d in (5, 40, 996, 100_000)]
+    got = spark.createDataFrame(fs, "f double, d double").select("f", "d", upper_f(F.col("f"), F.lit(3.0), F.col("d")).alias("p")).collect()
+    assert all(abs(r["p"] / beta(r["d"] / (r["d"] + 3 * r["f"]), r["d"] / 2, 1.5) - 1) < 1e-6 for r in got)
+    edge = spark.createDataFrame([(0.0,), (None,)], "t double").select(two_sided_student(F.col("t"), F.lit(5.0)).alias("p")).collect()
+    assert [r["p"] for r in edge] == [1.0, None]
