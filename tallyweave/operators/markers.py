@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.formulas import bind, ratio, two_sided_normal, upper_f
 from .qc import downsample_per_label
-from .scale import join_hot, lookup_join, materialise, quantiles, require, running
+from .scale import in_pieces, join_hot, lookup_join, materialise, quantiles, require, running
 
 BLOCKS_PER_UNIT = 32.0
 """Blocks of the value axis per unit of log-normalised expression."""
@@ -276,25 +276,22 @@ def size_factors(counts: DataFrame) -> DataFrame:
     return totals.select("cell_id", (F.col("total") / centre).alias("size_factor"))
 
 
-P_BLOCKS = 256.0
-
-
 def bh_adjust(df: DataFrame, p: str, group: str | None = None, name: str = "q") -> DataFrame:
     """Benjamini-Hochberg within ``group``: smallest ``p * n / rank`` at or above each p.
 
-    Equal p-values share the value of their last rank, so the work runs on the distinct p-values, in blocks of p.
+    Equal p-values share the value of their last rank, so the work runs on the distinct p-values, in pieces of about equal size.
     """
     by = [group] if group else []
     keyed = df if by else df.withColumn("_all", F.lit(0))
     by = by or ["_all"]
     tally = keyed.where(F.col(p).isNotNull()).groupBy(*by, p).agg(F.count(F.lit(1)).alias("_n"))
-    block = F.floor(F.col(p) * P_BLOCKS).cast("long")
-    ranked = running(tally, by, [p], block, {"_rank": "_n"})
+    tally = in_pieces(materialise(tally), by, p)
+    ranked = running(tally, by, [p], F.col("_piece"), {"_rank": "_n"})
     sizes = tally.groupBy(*by).agg(F.sum("_n").alias("_size"), F.count(F.lit(1)).alias("_rows"))
 
 
     ranked = join_hot(ranked, sizes, by, "_rows")
-    ranked = ranked.withColumn("_raw", F.col(p) * F.col("_size") / F.col("_rank")).withColumn("_block", block)
+    ranked = ranked.withColumn("_raw", F.col(p) * F.col("_size") / F.col("_rank")).withColumnRenamed("_piece", "_block")
     lows = ranked.groupBy(*by, "_block").agg(F.min("_raw").alias("_low"))
     above = Window.partitionBy(*by).orderBy(F.col("_block").desc()).rowsBetween(Window.unboundedPreceding, -1)
     lows = lows.select(*by, "_block", F.min("_low").over(above).alias("_above"))

@@ -95,7 +95,7 @@ def cluster_gene_order(profile: DataFrame, k: int, metric: str = "euclidean", se
 
 def profile_ranks(profile: DataFrame) -> DataFrame:
     """Average ranks of the genes within each label."""
-    return average_ranks(profile, ["label"], "mean", F.floor(F.col("mean") * 64).cast("long"), "rank")
+    return average_ranks(profile, ["label"], "mean", None, "rank")
 
 
 def profile_correlation(query: DataFrame, reference: DataFrame) -> DataFrame:

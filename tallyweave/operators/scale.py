@@ -145,37 +145,64 @@ def global_position(df: DataFrame, order: Sequence[Column | str], name: str = "p
     )
 
 
-def average_ranks(df: DataFrame, by: Sequence[str], value: str, block: Column, name: str) -> DataFrame:
-    """Ranks with ties averaged inside ``by``; equal values are one row while ranking."""
+PIECE_ROWS = 200_000
+"""Rows of a group that are put in order together; larger groups are cut at quantiles of their own values."""
+
+MOST_PIECES = 256
+"""Pieces of the largest groups."""
+
+
+def in_pieces(df: DataFrame, by: Sequence[str], value: str, piece_rows: int | None = None) -> DataFrame:
+    """``df`` with ``_piece``, which rises with ``value`` inside ``by``: pieces of a group hold about equally many rows, however the values are spread.
+
+    A mergeable quantile sketch of each group gives the cuts, so an outlier or a crowd near zero moves them along.  Equal values
+    share a piece; a value that fills more than a piece makes a large one, so callers tally equal values first.
+    Read twice: pass a written table, or one that is cheap to make."""
+    by = list(by)
+    piece_rows = piece_rows or PIECE_ROWS
+    v = F.col(value).cast("double")
+    groups = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    large = materialise(groups.where(F.col("_rows") > piece_rows))
+    if not large.limit(1).count():
+        return df.withColumn("_piece", F.lit(0))
+    probs = F.array(*[F.lit(i / MOST_PIECES) for i in range(1, MOST_PIECES)])
+    some = join_hot(df.select(*by, value), large, by, "_rows", "left_semi")
+    cuts = some.groupBy(*by).agg(F.percentile_approx(v, probs, F.lit(16 * MOST_PIECES)).alias("_cuts"), F.count(F.lit(1)).alias("_rows"))
+    pieces = F.least(F.lit(MOST_PIECES), F.ceil(F.col("_rows") / piece_rows))
+    chosen = F.filter("_cuts", lambda c, i: F.pmod((i + 1) * pieces, F.lit(MOST_PIECES)) < pieces)
+    cuts = materialise(cuts.select(*by, "_rows", F.array_distinct(chosen).alias("_cuts")))
+    piece = F.size(F.filter("_cuts", lambda c: c < v))
+    return join_hot(df, cuts, by, "_rows", "left").withColumn("_piece", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(piece)).drop("_cuts")
+
+
+def average_ranks(df: DataFrame, by: Sequence[str], value: str, block: Column | None, name: str) -> DataFrame:
+    """Ranks with ties averaged inside ``by``; equal values are one row while ranking.
+
+    ``block`` must rise with the value; None takes pieces of about equal size."""
     by = list(by)
     tally = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    if block is None:
+        tally, block = in_pieces(materialise(tally), by, value), F.col("_piece")
     ranked = running(tally, by, [value], block, {"_upto": "_n"})
     ranked = ranked.select(*by, value, (F.col("_upto") - (F.col("_n") - 1) / 2.0).alias(name), "_n")
     return join_hot(df, ranked, [*by, value], "_n")
 
 
-QUANTILE_BLOCKS = 512
-
-
 def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
     """Exact linearly interpolated quantiles per group: (by, p, q).
 
-    Each group's range is cut into equal-width blocks; block counts locate the wanted ranks, and only the
-    blocks that hold one are ordered.  No group is collected.
+    Equal values are counted first.  A group's values are cut into pieces of about equal size (:func:`in_pieces`); the pieces' counts locate
+    the wanted ranks, and only pieces that hold one are ordered.  No group is collected.
     """
     by = list(by)
     rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     if not by:
         rows = rows.withColumn("_all", F.lit(0))
     keys = by or ["_all"]
-    span = rows.groupBy(*keys).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(QUANTILE_BLOCKS))
-    cut = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(QUANTILE_BLOCKS)))
-    spanned = span.withColumn("_rows", F.col("_n")).drop("_n")
-    binned = join_hot(rows, spanned, keys, "_rows").select(
-        *keys, "_v", F.coalesce(cut, F.lit(0)).cast("long").alias("_block")
-    )
-    held = binned.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_c"))
+    counted = materialise(rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_k")))
+    binned = in_pieces(counted, keys, "_v").withColumnRenamed("_piece", "_block")
+    span = counted.groupBy(*keys).agg(F.sum("_k").alias("_n"))
+    held = binned.groupBy(*keys, "_block").agg(F.sum("_k").alias("_c"), F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     held = held.withColumn("_before", F.coalesce(F.sum("_c").over(before), F.lit(0)))
     wanted = span.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
@@ -186,9 +213,8 @@ def quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[floa
     at = held.join(wanted, keys).where(
         (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_c"))
     )
-    blocks = at.select(*keys, "_block", F.col("_c").alias("_rows")).distinct()
+    blocks = at.select(*keys, "_block", "_rows").distinct()
     tally = join_hot(binned, blocks, [*keys, "_block"], "_rows", "left_semi")
-    tally = tally.groupBy(*keys, "_block", "_v").agg(F.count(F.lit(1)).alias("_k"))
     w = Window.partitionBy(*keys, "_block").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     tally = tally.withColumn("_upto", F.sum("_k").over(w))
     picked = tally.join(at, [*keys, "_block"]).where(

@@ -192,3 +192,44 @@ def test_hot_cell_does_not_change_normalising(tables, monkeypatch):
 def test_missing_column_raises(tables):
     with pytest.raises(ValueError, match="missing columns"):
         qc.downsample_per_label(tables.cells, "nothing", 3, 1)
+
+
+def spread_values(kind):
+    rng = np.random.RandomState(6)
+    if kind == "outlier":
+        return np.r_[rng.uniform(size=5000), 1e12]
+    if kind == "tiny p":
+        return rng.uniform(size=5000) / 1000
+    return np.r_[rng.uniform(size=2500) * 1e-9, -rng.uniform(size=2500) * 1e9]
+
+
+@pytest.mark.parametrize("kind", ["outlier", "tiny p", "two scales"])
+def test_pieces_follow_the_values(spark, kind, monkeypatch):
+    monkeypatch.setattr(scale, "PIECE_ROWS", 100)
+    x = spread_values(kind)
+    rows = [("g", i, float(v)) for i, v in enumerate(x)] + [("few", i, float(i)) for i in range(20)] + [("one", 0, 3.0)]
+    df = spark.createDataFrame(rows, "k string, i long, v double").repartition(5)
+    got = scale.in_pieces(df, ["k"], "v").collect()
+    own = sorted((r["v"], r["_piece"]) for r in got if r["k"] == "g")
+    assert [p for _, p in own] == sorted(p for _, p in own)
+    sizes = np.bincount([p for _, p in own])
+    assert sizes.max() <= 2 * len(x) / 50 and {r["_piece"] for r in got if r["k"] != "g"} == {0}
+    q = {(r["k"], r["p"]): r["q"] for r in scale.quantiles(df, ["k"], "v", [0.0, 0.25, 0.5, 0.999, 1.0]).collect()}
+    for p in (0.0, 0.25, 0.5, 0.999, 1.0):
+        assert q["g", p] == pytest.approx(np.quantile(x, p), rel=1e-12) and q["few", p] == pytest.approx(19 * p)
+    ranks = {r["i"]: r["r"] for r in scale.average_ranks(df.where("k = 'g'"), ["k"], "v", None, "r").collect()}
+    assert [ranks[i] for i in range(len(x))] == (x.argsort().argsort() + 1).tolist()
+
+
+def test_bh_of_small_p_values(spark, monkeypatch):
+    from tallyweave.operators.markers import bh_adjust
+
+    monkeypatch.setattr(scale, "PIECE_ROWS", 100)
+    p = np.round(spread_values("tiny p")[:1500], 6)
+    got = {r["i"]: r["q"] for r in bh_adjust(spark.createDataFrame([(i, float(v)) for i, v in enumerate(p)], "i long, p double"), "p").collect()}
+    order = np.argsort(p)
+    want = np.empty(len(p))
+    want[order] = np.minimum.accumulate((p[order] * len(p) / np.arange(1, len(p) + 1))[::-1])[::-1]
+    for v in np.unique(p):  # ties share the last rank's value
+        want[p == v] = want[p == v].min()
+    assert np.allclose([got[i] for i in range(len(p))], want)
