@@ -50,7 +50,7 @@ def _(t):
     per = scores.select(F.posexplode("vec").alias("component", "v")).groupBy("component").agg(F.var_samp("v").alias("variance"))
     off = per.join(loadings, "component").agg(F.round(F.max(F.abs(F.col("variance") - F.col("eigenvalue"))), 6).alias("unexplained"))
     out = loadings.agg(F.sum("eigenvalue").alias("variance"), F.sum(F.col("eigenvalue") * F.col("eigenvalue")).alias("squares"))
-    return rounded(rounded(rounded(out.withColumn("unexplained", off.scalar()), 5, "variance"), 4, "squares"), 6, "unexplained")
+    return rounded(rounded(rounded(out.withColumn("unexplained", F.coalesce(off.scalar(), F.lit(0.0))), 5, "variance"), 4, "squares"), 6, "unexplained")
 
 
 @query("harmony")
