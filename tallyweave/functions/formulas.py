@@ -45,7 +45,7 @@ def ln_gamma(x: Column) -> Column:
 def incomplete_beta(x: Column, a: Column, b: Column) -> Column:
     """The regularised incomplete beta function, by its continued fraction evaluated from the far end.
 
-    The fraction converges for x below (a + 1) / (a + b + 2), in about the square root of the greater parameter of steps; above, the
+    The fraction converges for x below (a + 1) / (a + b + 2), in steps that grow with the square root of the lesser parameter; above, the
     function is taken from the other side.  1 from x = 1 on, 0 up to x = 0."""
 
     def side(x: Column, rest: Column, a: Column, b: Column) -> Column:
@@ -54,7 +54,7 @@ def incomplete_beta(x: Column, a: Column, b: Column) -> Column:
             odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
             return F.when(i % 2 == 1, odd).otherwise(m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)))
 
-        steps = (60 + 6 * F.ceil(F.sqrt(F.greatest(a, b)))).cast("int")
+        steps = (80 + 3 * F.ceil(F.sqrt(F.least(a, b)))).cast("int")
         value = F.aggregate(F.sequence(steps, F.lit(1), F.lit(-1)), F.lit(1.0), lambda v, i: 1 + term(i) / v)
         return F.exp(a * F.log(x) + b * F.log(rest) - F.log(a) - ln_gamma(a) - ln_gamma(b) + ln_gamma(a + b)) / value
 
