@@ -1,11 +1,13 @@
-"""Batch correction: moments on the variable genes, dense results on the listed genes."""
+"""Batch correction of the variable genes."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tallyweave.operators import combat, qc
+from tallyweave.operators.scale import materialise
 
 from .base import CELLS, EXPR, HVG, query, rounded
-from .markers import LISTED, listed
 
 MOMENTS = """sizes AS (SELECT batch, CAST(count(*) AS DOUBLE) AS n FROM cells GROUP BY 1),
 mom AS (SELECT c.gene_id, s.batch, s.n, coalesce(sum(x), 0) / s.n AS mean, coalesce(sum(x * x), 0) - coalesce(sum(x), 0) * coalesce(sum(x), 0) / s.n AS ss
@@ -18,10 +20,9 @@ priors AS (SELECT batch, avg(gamma) AS gamma_bar, var_pop(gamma) AS t2, (2 * var
 it AS (SELECT batch, gene_id, n, gamma, delta, gamma_bar, t2, a, b, 0 AS step, gamma AS g, delta AS d FROM hats JOIN priors USING (batch)
   UNION ALL SELECT batch, gene_id, n, gamma, delta, gamma_bar, t2, a, b, step + 1, g2,
     (0.5 * ((n - 1) * delta + n * (gamma - g2) * (gamma - g2)) + b) / (n / 2 + a - 1) FROM
-    (SELECT *, (t2 * n * gamma + d * gamma_bar) / (t2 * n + d) AS g2 FROM it WHERE step < 30)),
-star AS (SELECT batch, gene_id, g AS gamma_star, d AS delta_star FROM it WHERE step = 30)"""
+    (SELECT *, (t2 * n * gamma + d * gamma_bar) / (t2 * n + d) AS g2 FROM it WHERE step < 60)),
+star AS (SELECT batch, gene_id, g AS gamma_star, d AS delta_star FROM it WHERE step = 60)"""
 ON_HVG = f"RECURSIVE {EXPR}, {CELLS}, {HVG}, chosen AS (SELECT gene_id FROM hvg WHERE selected), {MOMENTS}"
-ON_LIST = f"RECURSIVE {EXPR}, {CELLS}, {LISTED}, chosen AS (SELECT gene_id FROM listed), {MOMENTS}"
 
 
 def _variable(t):
@@ -44,27 +45,42 @@ def _(t):
 
 @query("combat_priors", f"WITH {ON_HVG} SELECT batch, round(gamma_bar, 6) + 0e0 AS gamma_bar, round(t2, 6) AS t2, round(a, 5) AS a, round(b, 5) AS b FROM priors")
 def _(t):
-    return rounded(rounded(combat.combat_priors(combat.combat_hats(_moments(t))), 6, "gamma_bar", "t2"), 5, "a", "b")
+    out = combat.combat_priors(combat.combat_hats(_moments(t))).drop("delta_bar")
+    return rounded(rounded(out, 6, "gamma_bar", "t2"), 5, "a", "b")
 
 
 @query("combat_solve", f"WITH {ON_HVG} SELECT batch, gene_id, round(gamma_star, 6) + 0e0 AS gamma_star, round(delta_star, 6) AS delta_star FROM star")
 def _(t):
-    hats = combat.combat_hats(_moments(t))
+    hats = materialise(combat.combat_hats(_moments(t)))
     return rounded(combat.combat_solve(hats, combat.combat_priors(hats)), 6, "gamma_star", "delta_star")
 
 
-DENSE = """dense AS (SELECT c.cell_id, c.batch, g.gene_id, coalesce(x, 0) AS x FROM cells c CROSS JOIN chosen g
-  LEFT JOIN expr e ON e.cell_id = c.cell_id AND e.gene_id = g.gene_id)"""
+# stored values, and with no cell the image of an absent value
+@query("combat_standardise", f"""WITH {ON_HVG} SELECT cell_id, gene_id, round((x - grand_mean) / sqrt(var_pooled), 6) + 0e0 AS s FROM expr JOIN stats USING (gene_id)
+UNION ALL SELECT NULL, gene_id, round(-grand_mean / sqrt(var_pooled), 6) + 0e0 FROM stats""")
+def _(t):
+    stored, zeros = combat.combat_standardise(t.expr, t.cells, "batch", _variable(t))
+    out = stored.select("cell_id", "gene_id", "s").unionByName(zeros.select(F.lit(None).cast("long").alias("cell_id"), "gene_id", "s"))
+    return rounded(out, 6, "s")
+
+
+FIXED = "sqrt(var_pooled) * (({x} - grand_mean) / sqrt(var_pooled) - gamma_star) / sqrt(delta_star) + grand_mean"
 
 
-@query("combat_standardise", f"""WITH {ON_LIST}, {DENSE} SELECT cell_id, gene_id, round((x - grand_mean) / sqrt(var_pooled), 6) + 0e0 AS s
-FROM dense JOIN stats USING (gene_id)""")
+@query("combat_apply", f"""WITH {ON_HVG} SELECT cell_id, batch, gene_id, round({FIXED.format(x="x")}, 6) + 0e0 AS x
+FROM expr JOIN cells USING (cell_id) JOIN stats USING (gene_id) JOIN star USING (batch, gene_id)
+UNION ALL SELECT NULL, batch, gene_id, round({FIXED.format(x="0")}, 6) + 0e0 FROM stats JOIN star USING (gene_id)""")
 def _(t):
-    return rounded(combat.combat_standardise(t.expr, t.cells, "batch", listed(t)).select("cell_id", "gene_id", "s"), 6, "s")
+    stored, zeros = combat.combat_apply(t.expr, t.cells, "batch", _variable(t))
+    return rounded(stored.unionByName(zeros.withColumn("cell_id", F.lit(None).cast("long"))), 6, "x")
 
 
-@query("combat_apply", f"""WITH {ON_LIST}, {DENSE} SELECT cell_id, gene_id,
-round(sqrt(var_pooled) * ((x - grand_mean) / sqrt(var_pooled) - gamma_star) / sqrt(delta_star) + grand_mean, 6) + 0e0 AS x
-FROM dense JOIN stats USING (gene_id) JOIN star USING (batch, gene_id)""")
+# every cell and gene enters the sums
+@query("combat_dense", f"""WITH {ON_HVG}, dense AS (SELECT c.cell_id, c.batch, g.gene_id, coalesce(x, 0) AS x FROM cells c CROSS JOIN chosen g
+  LEFT JOIN expr e ON e.cell_id = c.cell_id AND e.gene_id = g.gene_id),
+fixed AS (SELECT cell_id, gene_id, {FIXED.format(x="x")} AS x FROM dense JOIN stats USING (gene_id) JOIN star USING (batch, gene_id))
+SELECT gene_id, count(*) AS n, round(sum(x), 4) + 0e0 AS total, round(sum(x * x), 4) AS squares FROM fixed GROUP BY 1""")
 def _(t):
-    return rounded(combat.combat_apply(t.expr, t.cells, "batch", listed(t)), 6, "x")
+    stored, zeros = combat.combat_apply(t.expr, t.cells, "batch", _variable(t))
+    out = combat.combat_dense(stored, zeros, t.cells, "batch").groupBy("gene_id")
+    return rounded(out.agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("total"), F.sum(F.col("x") * F.col("x")).alias("squares")), 4, "total", "squares")

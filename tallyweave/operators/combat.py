@@ -1,11 +1,13 @@
 """Batch correction by empirical Bayes (location and scale), on a chosen set of genes.
 
-All moments come from stored values plus the number of cells per batch; the dense result exists only for the
-chosen genes.  The only covariate is the batch.
+All moments come from stored values plus the number of cells per batch.  Results are the stored values and what an
+absent value becomes in each batch; no grid of cells and genes is made.  The only covariate is the batch.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .scale import lookup_join, materialise, require
@@ -38,18 +40,21 @@ def combat_gene_stats(moments: DataFrame) -> DataFrame:
     )
 
 
-def combat_standardise(expr: DataFrame, cells: DataFrame, batch: str, genes: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """(cell_id, batch, gene_id, s): dense standardised values; a gene without variance gives 0."""
-    from .markers import dense_grid
+def _per_batch(expr: DataFrame, cells: DataFrame, batch: str) -> DataFrame:
+    return expr.select("cell_id", "gene_id", "x").join(cells.select("cell_id", F.col(batch).alias("batch")), "cell_id")
+
 
+def combat_standardise(expr: DataFrame, cells: DataFrame, batch: str, genes: DataFrame, stats: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(cell_id, batch, gene_id, s) of stored values and (gene_id, s) of an absent one; a gene without variance gives 0."""
     stats = stats if stats is not None else combat_gene_stats(batch_moments(expr, cells, batch, genes))
-    dense = dense_grid(expr, cells.select("cell_id", F.col(batch).alias("batch")), genes)
-    s = F.when(F.col("var_pooled") > 0, (F.col("x") - F.col("grand_mean")) / F.sqrt("var_pooled")).otherwise(0.0)
-    return lookup_join(dense, stats, ["gene_id"], "inner").select("cell_id", "batch", "gene_id", s.alias("s"))
+    stats = materialise(stats)
+    s = lambda x: F.when(F.col("var_pooled") > 0, (x - F.col("grand_mean")) / F.sqrt("var_pooled")).otherwise(0.0).alias("s")
+    stored = lookup_join(_per_batch(expr, cells, batch), stats, ["gene_id"], "inner")
+    return stored.select("cell_id", "batch", "gene_id", s(F.col("x"))), stats.select("gene_id", s(F.lit(0.0)))
 
 
 def combat_hats(moments: DataFrame) -> DataFrame:
-    """(batch, gene_id, n, gamma, delta): mean and variance (n - 1) of the standardised values."""
+    """(batch, gene_id, n, gamma, delta): mean and variance (n - 1) of the standardised values; the variance in a batch of one cell counts as 1."""
     w = Window.partitionBy("gene_id")  # one row per batch
     m = moments.withColumn("_t", F.sum("n").over(w))
     m = m.withColumn("_g", F.sum(F.col("n") * F.col("mean")).over(w) / F.col("_t")).withColumn("_v", F.sum("ss").over(w) / F.col("_t"))
@@ -57,51 +62,96 @@ def combat_hats(moments: DataFrame) -> DataFrame:
     return m.select(
         "batch", "gene_id", "n",
         F.when(ok, (F.col("mean") - F.col("_g")) / F.sqrt("_v")).otherwise(0.0).alias("gamma"),
-        F.when(ok, F.col("ss") / (F.col("n") - 1) / F.col("_v")).otherwise(0.0).alias("delta"),
+        F.when(~ok, 0.0).when(F.col("n") > 1, F.col("ss") / (F.col("n") - 1) / F.col("_v")).otherwise(1.0).alias("delta"),
     )
 
 
 def combat_priors(hats: DataFrame) -> DataFrame:
-    """(batch, gamma_bar, t2, a, b): prior moments over the genes of each batch."""
-    m, v = F.avg("delta"), F.var_samp("delta")
+    """(batch, gamma_bar, t2, delta_bar, a, b): prior moments over the genes of each batch; a and b are null if the variances do not differ."""
+    m, v = F.avg("delta"), F.nullif(F.var_samp("delta"), F.lit(0.0))
     return hats.groupBy("batch").agg(
         F.avg("gamma").alias("gamma_bar"),
         F.var_pop("gamma").alias("t2"),
+        m.alias("delta_bar"),
         ((2 * v + m * m) / v).alias("a"),
         ((m * v + m * m * m) / v).alias("b"),
     )
 
 
-def combat_solve(hats: DataFrame, priors: DataFrame, rounds: int = 30) -> DataFrame:
-    """(batch, gene_id, gamma_star, delta_star) after a fixed number of alternating updates.
+STEPS = 16
+"""Updates of the first pass; each later pass makes twice as many, on the rows that still move."""
+LONGEST = 1 << 14
+
+
+def combat_solve(hats: DataFrame, priors: DataFrame, tolerance: float = 1e-12) -> DataFrame:
+    """(batch, gene_id, gamma_star, delta_star) by alternating updates until none moves more than ``tolerance``.
 
-    The sum of squares around a new gamma follows from the stored moments, so no round goes back to the cells.
+    The sum of squares around a new gamma follows from the stored moments, so no update goes back to the cells.  A mean's
+    move is measured by its spread, a variance's by itself.  Rows that have settled leave; raises if some never do.
+    Where the variances of a batch do not differ, their common value is taken.
     """
     rows = lookup_join(hats, priors, ["batch"], "inner")
     n, hat = F.col("n"), F.col("gamma")
 
     def update(state, _):
         t2n = F.col("t2") * n
-        gamma = (t2n * hat + state["d"] * F.col("gamma_bar")) / (t2n + state["d"])
+        gamma = F.coalesce(F.try_divide(t2n * hat + state["d"] * F.col("gamma_bar"), t2n + state["d"]), F.col("gamma_bar"))
         around = (n - 1) * F.col("delta") + n * (hat - gamma) * (hat - gamma)
-        delta = (0.5 * around + F.col("b")) / (n / 2 + F.col("a") - 1)
-        return F.struct(gamma.alias("g"), delta.alias("d"))
+        delta = F.coalesce((0.5 * around + F.col("b")) / (n / 2 + F.col("a") - 1), F.col("delta_bar"))
+        spread = F.abs(gamma) + F.sqrt(delta)
+        off = F.greatest(F.try_divide(F.abs(gamma - state["g"]), spread), F.try_divide(F.abs(delta - state["d"]), delta))
+        return F.struct(gamma.alias("g"), delta.alias("d"), F.coalesce(off, F.lit(0.0)).alias("off"))
+
+    moving = rows.withColumn("_s", F.struct(hat.alias("g"), F.col("delta").alias("d"), F.lit(1.0).alias("off")))
+    settled, steps = [], STEPS
+    while steps <= LONGEST:
+        passed = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.col("_s"), update)
+        rows = materialise(moving.withColumn("_s", passed))
+        settled.append(rows.where(F.col("_s.off") <= tolerance))
+        moving = rows.where(F.col("_s.off") > tolerance)
+        if moving.isEmpty():
+            return reduce(DataFrame.unionByName, settled).select(
+                "batch", "gene_id", F.col("_s.g").alias("gamma_star"), F.col("_s.d").alias("delta_star")
+            )
+        steps *= 2
+    raise RuntimeError(f"{moving.count()} means or variances still move after {2 * LONGEST - STEPS} updates")
+
+
+def combat_lines(expr: DataFrame, cells: DataFrame, batch: str, genes: DataFrame, tolerance: float = 1e-12) -> DataFrame:
+    """(batch, gene_id, slope, shift): a corrected value is slope * x + shift.  A gene without variance gets its mean everywhere."""
+    moments = materialise(batch_moments(expr, cells, batch, genes))
+    hats = materialise(combat_hats(moments))
+    star = combat_solve(hats, combat_priors(hats), tolerance)
+    rows = lookup_join(star, combat_gene_stats(moments), ["gene_id"], "inner")
+    varies = F.col("var_pooled") > 0
+    slope = F.when(~varies, 0.0).when(F.col("delta_star") > 0, 1 / F.sqrt("delta_star")).otherwise(1.0)
+    moved = F.col("grand_mean") + F.sqrt("var_pooled") * F.col("gamma_star")
+    shift = F.col("grand_mean") - F.when(varies, moved * F.col("slope")).otherwise(0.0)
+    return rows.withColumn("slope", slope).select("batch", "gene_id", "slope", shift.alias("shift"))
 
-    start = F.struct(hat.alias("g"), F.col("delta").alias("d"))
-    solved = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, update)
-    return rows.withColumn("_s", solved).select(
-        "batch", "gene_id", F.col("_s.g").alias("gamma_star"), F.col("_s.d").alias("delta_star")
-    )
 
+def combat_apply(expr: DataFrame, cells: DataFrame, batch: str, genes: DataFrame, tolerance: float = 1e-12) -> tuple[DataFrame, DataFrame]:
+    """(cell_id, batch, gene_id, x) of corrected stored values and (batch, gene_id, x), what an absent value becomes.
 
-def combat_apply(expr: DataFrame, cells: DataFrame, batch: str, genes: DataFrame, rounds: int = 30) -> DataFrame:
-    """(cell_id, gene_id, x): corrected values, dense over the chosen genes."""
-    moments = materialise(batch_moments(expr, cells, batch, genes))
-    stats = combat_gene_stats(moments)
-    hats = combat_hats(moments)
-    star = materialise(combat_solve(hats, combat_priors(hats), rounds))
-    std = combat_standardise(expr, cells, batch, genes, stats)
-    fixed = lookup_join(lookup_join(std, star, ["batch", "gene_id"], "inner"), stats, ["gene_id"], "inner")
-    x = F.sqrt("var_pooled") * (F.col("s") - F.col("gamma_star")) / F.sqrt("delta_star") + F.col("grand_mean")
-    flat = F.col("grand_mean")
-    return fixed.select("cell_id", "gene_id", F.when(F.col("var_pooled") > 0, x).otherwise(flat).alias("x"))
+    The work grows with the stored values; :func:`combat_dense` expands the result where a consumer needs every cell.
+    """
+    lines = materialise(combat_lines(expr, cells, batch, genes, tolerance))
+    stored = lookup_join(_per_batch(expr, cells, batch), lines, ["batch", "gene_id"], "inner")
+    fixed = stored.select("cell_id", "batch", "gene_id", (F.col("slope") * F.col("x") + F.col("shift")).alias("x"))
+    return fixed, lines.select("batch", "gene_id", F.col("shift").alias("x"))
+
+
+PIECE = 65_536
+"""Cells of a batch that are expanded together."""
+
+
+def combat_dense(stored: DataFrame, zeros: DataFrame, cells: DataFrame, batch: str) -> DataFrame:
+    """(cell_id, gene_id, x): the pair of tables of :func:`combat_apply` with a row for every cell and gene.  For export."""
+    named = cells.select("cell_id", F.col(batch).alias("batch"))
+    pieces = named.groupBy("batch").agg(F.ceil(F.count(F.lit(1)) / PIECE).cast("int").alias("_k"))
+    piece = F.pmod(F.xxhash64("cell_id"), F.col("_k")).cast("int")
+    rows = lookup_join(named, pieces, ["batch"], "inner").select("cell_id", "batch", piece.alias("_piece"))
+    image = zeros.join(pieces, "batch").withColumn("_piece", F.explode(F.sequence(F.lit(0), F.col("_k") - 1))).drop("_k")
+    full = rows.join(image.withColumnRenamed("x", "_zero"), ["batch", "_piece"]).select("cell_id", "gene_id", "_zero")
+    both = full.join(stored.select("cell_id", "gene_id", "x"), ["cell_id", "gene_id"], "left")
+    return both.select("cell_id", "gene_id", F.coalesce("x", "_zero").alias("x"))

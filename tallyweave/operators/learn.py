@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -10,7 +11,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.formulas import ratio
 from .qc import dense_vectors, feature_index
@@ -265,57 +266,57 @@ def adjusted_rand_index(cells: DataFrame, a: str, b: str) -> DataFrame:
     return out.select(ratio(F.col("t.p") - chance, (F.col("p") + F.col("q")) / 2 - chance, 1.0).alias("ari"))
 
 
-# Ln k! for k = 0 to 9, where Stirling's series is not exact enough.
-LOG_FACTORIALS = (
-    0.0, 0.0, 0.6931471805599453, 1.791759469228055, 3.1780538303479458,
-    4.787491742782046, 6.579251212010101, 8.525161361065415, 10.60460290274525, 12.801827480081469,
-)
+STRIDE = 4096
+"""Overlaps that are looked at together."""
 
 
-def log_factorial(n: Column) -> Column:
-    """ln n! of a whole number: a table below 10, Stirling's series above."""
-    x = F.greatest(n, F.lit(1.0))
-    series = x * F.log(x) - x + 0.5 * F.log(6.283185307179586 * x) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * F.pow(x, F.lit(5.0)))
-    table = F.element_at(F.array(*[F.lit(v) for v in LOG_FACTORIALS]), F.least(n, F.lit(9.0)).cast("int") + 1)
-    return F.when(n < 10, table).otherwise(series)
+def expected_information(na: int, nb: int, n: int) -> float:
+    """Expected m / n * ln(n m / (na nb)) of the overlap m of two random groups of these sizes among n.
 
-
-CHUNK = 65_536
+    The overlap's weights relative to its mode follow from their ratios, outwards from the mode until they vanish; their own sum
+    normalises them.  The work is a few standard deviations of the overlap.
+    """
+    low, high = max(0, na + nb - n), min(na, nb)
+    mode = min(high, max(low, (na + 1) * (nb + 1) // (n + 2)))
+    term = lambda m: m / n * np.log(np.maximum(m, 1.0) * (n / na / nb))
+    mass, told = 1.0, float(term(np.float64(mode)))
+    for step, last in ((1, high), (-1, low)):
+        at, log_w = mode, 0.0
+        while at != last:
+            m = np.arange(at + step, at + step * (min(STRIDE, abs(last - at)) + 1), step, dtype=np.float64)
+            up = m if step > 0 else m + 1  # the larger of each two neighbours
+            ratio_up = np.log(na - up + 1) + np.log(nb - up + 1) - np.log(up) - np.log(n - na - nb + up)
+            logs = log_w + step * np.cumsum(ratio_up)
+            w = np.exp(logs)
+            mass, told = mass + float(w.sum()), told + float(w @ term(m))
+            at, log_w = int(m[-1]), float(logs[-1])
+            if w[-1] < 1e-20:
+                break
+    return told / mass
 
 
 def adjusted_mutual_info(cells: DataFrame, a: str, b: str) -> DataFrame:
-    """One row (mi, ami), normalised by the larger entropy.
-
-    The expected information is summed over every possible overlap of every pair of groups, in chunks.
-    """
+    """One row (mi, ami), normalised by the larger entropy.  The expected information is summed over pairs of group sizes."""
     table = materialise(_table(cells, a, b))
-    total = table.agg(F.sum("n")).first()[0]
+    total = int(table.agg(F.sum("n")).first()[0] or 0)
     n = F.lit(float(total))
-    side = {c: materialise(table.groupBy(c).agg(F.sum("n").alias(f"n{c}"))) for c in ("a", "b")}
-    entropy = lambda c: side[c].agg((-F.sum(F.col(f"n{c}") / n * F.log(F.col(f"n{c}") / n))).alias("h")).first()[0]
-    ha, hb = entropy("a"), entropy("b")
+    side = {c: table.groupBy(c).agg(F.sum("n").alias(f"n{c}")) for c in ("a", "b")}
+    entropy = lambda c: side[c].agg((-F.sum(F.col(f"n{c}") / n * F.log(F.col(f"n{c}") / n))).alias("h")).scalar()
     both = lookup_join(lookup_join(table, side["a"], ["a"], "inner"), side["b"], ["b"], "inner")
     information = F.col("n") / n * F.log(n * F.col("n") / (F.col("na") * F.col("nb")))
     mi = both.agg(F.sum(information).alias("mi"))
     # group sizes repeat, so pairs of sizes are counted instead of pairs of groups
     sizes = {c: side[c].groupBy(f"n{c}").agg(F.count(F.lit(1)).alias(f"k{c}")) for c in ("a", "b")}
     others = sizes["b"].agg(F.collect_list(F.struct("nb", "kb")).alias("l")).scalar()
-    pairs = sizes["a"].select("na", "ka", F.explode(others).alias("o")).select("na", "ka", "o.nb", "o.kb")
-    low = F.greatest(F.lit(1.0), F.col("na") + F.col("nb") - n).cast("long")
-    high = F.least("na", "nb").cast("long")
-    chunks = pairs.withColumns({"low": low, "high": high})
-    chunks = chunks.withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("high") - F.col("low")) / CHUNK))))
-    first = F.col("low") + F.col("c") * CHUNK
-    chunks = chunks.repartition(F.col("na"), F.col("nb"), F.col("c"))
-    rows = chunks.select("na", "nb", "ka", "kb", F.explode(F.sequence(first, F.least(first + (CHUNK - 1), F.col("high")))).alias("m"))
-    rows = rows.withColumn("m", F.col("m").cast("double"))
-    f = log_factorial
-    weight = (
-        f(F.col("na")) + f(F.col("nb")) + f(n - F.col("na")) + f(n - F.col("nb")) - f(n) - f(F.col("m"))
-        - f(F.col("na") - F.col("m")) - f(F.col("nb") - F.col("m")) - f(n - F.col("na") - F.col("nb") + F.col("m"))
-    )
-    term = F.col("m") / n * F.log(n * F.col("m") / (F.col("na") * F.col("nb"))) * F.exp(weight)
-    emi = rows.agg(F.sum(F.col("ka") * F.col("kb") * term).alias("e")).scalar()
-    out = mi.withColumn("e", emi)
-    ami = ratio(F.col("mi") - F.col("e"), F.lit(float(max(ha, hb))) - F.col("e"), 1.0)
-    return out.select("mi", ami.alias("ami"))
+    pairs = sizes["a"].select("na", "ka", F.explode(others).alias("o"))
+    pairs = pairs.select(F.col("na").cast("long").alias("na"), F.col("o.nb").cast("long").alias("nb"), (F.col("ka") * F.col("o.kb")).alias("k")).repartition("na", "nb")
+
+    def expect(batches):
+        for batch in batches:
+            na, nb, k = (c.to_pylist() for c in batch.columns)
+            e = [times * expected_information(x, y, total) for x, y, times in zip(na, nb, k)]
+            yield pa.record_batch([pa.array(e, pa.float64())], names=["e"])
+
+    emi = pairs.mapInArrow(expect, "e double").agg(F.sum("e").alias("e")).scalar()
+    out = mi.withColumns({"e": emi, "h": F.greatest(entropy("a"), entropy("b"))})
+    return out.select("mi", ratio(F.col("mi") - F.col("e"), F.col("h") - F.col("e"), 1.0).alias("ami"))

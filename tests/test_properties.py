@@ -130,11 +130,30 @@ def test_gene_order_is_a_permutation(tables, metric):
     assert len({r["gene_id"] for r in out}) == len(out) == prof.select("gene_id").distinct().count()
 
 
-def test_log_factorial(spark):
-    import math
-
-    got = spark.range(0, 200).select("id", learn.log_factorial(F.col("id").cast("double")).alias("f")).collect()
-    assert all(math.isclose(r["f"], math.lgamma(r["id"] + 1), abs_tol=1e-10, rel_tol=1e-12) for r in got)
+@pytest.mark.parametrize("na,nb,n", [(1, 1, 2), (5, 7, 12), (3, 40, 41), (40, 60, 90), (500, 700, 5000), (9000, 20000, 30000), (12, 12, 12)])
+def test_expected_information_is_the_hypergeometric_mean(na, nb, n):
+    from fractions import Fraction
+    from math import comb, log
+
+    every = range(max(0, na + nb - n), min(na, nb) + 1)
+    every = [m for m in every if m and (n < 1000 or abs(m - na * nb / n) < 400)]
+    want = sum(float(Fraction(comb(nb, m) * comb(n - nb, na - m), comb(n, na))) * m / n * log(n * m / na / nb) for m in every)
+    assert learn.expected_information(na, nb, n) == pytest.approx(want, abs=1e-13, rel=1e-9)
+
+
+def test_expected_information_of_large_groups():
+    # large samples: half the degrees of freedom of a cell's chi square, over n
+    for n in (10**6, 10**10):
+        na, nb = n // 5, n // 4
+        cell = [learn.expected_information(x, y, n) for x in (na, n - na) for y in (nb, n - nb)]
+        assert sum(cell) == pytest.approx(0.5 / n, rel=0.02 if n < 10**9 else 2.0, abs=1e-12)
+
+
+def test_mutual_information_of_odd_labelings(spark):
+    rows = spark.createDataFrame([(i, "abc"[i % 3], "xyz"[i % 3], "one") for i in range(30)], "cell_id long, p string, q string, r string")
+    assert learn.adjusted_mutual_info(rows, "p", "q").first()["ami"] == pytest.approx(1.0)
+    assert learn.adjusted_mutual_info(rows, "p", "r").first()["ami"] == pytest.approx(0.0, abs=1e-9)
+    assert learn.adjusted_mutual_info(rows, "r", "r").first()["ami"] == 1.0
 
 
 def test_contingency_margins(tables):
