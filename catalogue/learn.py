@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from tallyweave.functions.formulas import upper_normal
-from tallyweave.operators import doublets, learn, qc, reduce, sparse
-from tallyweave.operators.scale import scratch_dir
+from tallyweave.operators import doublets, learn, markers, qc, reduce, sparse
+from tallyweave.operators.scale import materialise, scratch_dir
 
 from .base import CELLS, COUNTS, EMB, EXPR, HVG, query, rounded
 
@@ -88,11 +88,23 @@ def _rows(t):
     return t.emb.select("cell_id", F.col("vec").alias("features"), F.concat(F.lit("k"), largest).alias("label"))
 
 
-@query("train_cell_classifier")
+@query("train_classifier")
 def _(t):
     return learn.train_classifier(_rows(t), folds=2, gamma=0.5)[1]
 
 
+@query("train_cell_classifier")
+def _(t):
+    expr = materialise(t.expr)
+    found = markers.markers_one_vs_rest(expr, t.cells, "label", min_pct=0.0, logfc=0.0)
+    return learn.train_cell_classifier(expr, t.cells, "label", found)[1]
+
+
+@query("train_doublet_classifier")
+def _(t):
+    return learn.train_doublet_classifier(t.counts, t.cells, "lane")[1]
+
+
 @query("apply_classifier")
 def _(t):
     model, _ = learn.train_classifier(_rows(t), folds=2, gamma=0.5, size=64)

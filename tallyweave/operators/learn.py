@@ -71,31 +71,33 @@ def split_train_test(rows: DataFrame, test: float, seed: int) -> tuple[DataFrame
 
 def train_classifier(
     rows: DataFrame, test: float = 0.3, cost: tuple[float, ...] = (10.0,), gamma: float = 1e-3, folds: int = 5,
-    share: float = 0.8, kmax: int = 100, size: int = 128, seed: int = 1,
+    share: float = 0.8, size: int = 128, seed: int = 1,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit on ``rows(cell_id, features, label)``: PCA to ``share`` of the variance, Fourier features, linear SVM.
 
-    Splits before anything is fitted and picks the cost by cross-validation.  Returns the model and its
-    predictions (cell_id, actual, predicted) on the held-out cells.
+    Splits before anything is fitted; of several costs one is picked by cross-validation.  Rows without a label are left
+    out.  Returns the model and its predictions (cell_id, actual, predicted) on the held-out cells.
     """
     from pyspark.ml.classification import LinearSVC, OneVsRest
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.feature import PCA, IndexToString, StringIndexer
+    from pyspark.ml.feature import PCA, IndexToString, StringIndexer, VectorSlicer
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 
     require(rows, "cell_id", "features", "label")
-    rows = materialise(rows.select("cell_id", "features", "label"))
+    rows = materialise(rows.select("cell_id", "features", "label").where("label IS NOT NULL"))
     train, held = split_train_test(rows, test, seed)
     train = train.withColumn("vector", array_to_vector("features"))
     held = held.withColumn("vector", array_to_vector("features"))
-    names = StringIndexer(inputCol="label", outputCol="target", stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
+    names = StringIndexer(inputCol="label", outputCol="target", stringOrderType="alphabetAsc").fit(train)
     n = train.count()
-    width = len(rows.select("features").first()[0])
-    shares = PCA(k=min(kmax, width), inputCol="vector", outputCol="pc").fit(train)
-    k = min(int(np.searchsorted(np.cumsum(shares.explainedVariance.toArray()), share)) + 1, min(kmax, width))
-    reduce = PCA(k=k, inputCol="vector", outputCol="pc").fit(train)
+    width = len(rows.select("features").first()[0]) if n else 0
+    if not width:
+        raise ValueError("no labelled cells, or no genes to train on")
+    reduce = PCA(k=width, inputCol="vector", outputCol="every_pc").fit(train)
+    k = min(int(np.searchsorted(np.cumsum(reduce.explainedVariance.toArray()), share)) + 1, width)
+    first = VectorSlicer(inputCol="every_pc", outputCol="pc", indices=list(range(k)))
     wave = FourierFeatures(inputCol="pc", outputCol="waves", gamma=gamma, size=size, seed=seed)
-    ready = materialise(wave.transform(reduce.transform(names.transform(train))).select("cell_id", "waves", "target"))
+    ready = materialise(wave.transform(first.transform(reduce.transform(names.transform(train)))).select("cell_id", "waves", "target"))
     svm = LinearSVC(featuresCol="waves", labelCol="target", maxIter=20, standardization=False)
     many = OneVsRest(classifier=svm, featuresCol="waves", labelCol="target", predictionCol="prediction", parallelism=4)
     grid = ParamGridBuilder().addGrid(svm.regParam, [1.0 / (c * n) for c in cost]).build()
@@ -105,8 +107,8 @@ def train_classifier(
         machine = chosen.bestModel
     else:
         machine = many.fit(ready, grid[0])
-    back = IndexToString(inputCol="prediction", outputCol="predicted", labels=names.labels + ["unknown"])
-    model = PipelineModel([reduce, wave, machine, back])
+    back = IndexToString(inputCol="prediction", outputCol="predicted", labels=names.labels)
+    model = PipelineModel([reduce, first, wave, machine, back])
     report = model.transform(held).select("cell_id", F.col("label").alias("actual"), "predicted")
     return model, report
 
@@ -125,13 +127,15 @@ def train_cell_classifier(expr, cells, label, markers, **options) -> tuple[Pipel
     return train_classifier(marker_features(expr, cells, label, markers), **options)
 
 
-def train_doublet_classifier(counts: DataFrame, cells: DataFrame, lane: str, seed: int = 1, **options) -> tuple[PipelineModel, DataFrame]:
-    """Classifier of simulated doublets on the variable genes; a third is held out."""
+def train_doublet_classifier(
+    counts: DataFrame, cells: DataFrame, lane: str, seed: int = 1, genes: DataFrame | None = None, **options
+) -> tuple[PipelineModel, DataFrame]:
+    """Classifier of simulated doublets on ``genes``, the variable ones if not given; a third is held out."""
     from . import doublets, qc
 
     mixed, labels = doublets.simulate_doublets(counts, cells, lane, seed)
     expr, labels = materialise(qc.log_normalise(mixed)), materialise(labels)
-    genes = qc.selected_genes(qc.variable_genes_mvp(expr, labels))
+    genes = genes if genes is not None else qc.selected_genes(qc.variable_genes_mvp(expr, labels))
     vectors, _ = feature_matrix(expr, labels, genes)
     options = {"test": 0.33, "cost": (1.0, 10.0, 100.0, 300.0), "folds": 3, **options}
     return train_classifier(vectors.join(labels.select("cell_id", "label"), "cell_id"), seed=seed, **options)
@@ -206,17 +210,17 @@ def discriminatory_power(rows: DataFrame, genes: list, trees: int = 500, test: f
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import IndexToString, StringIndexer
 
-    rows = materialise(rows.select("cell_id", "features", "label"))
+    rows = materialise(rows.select("cell_id", "features", "label").where("label IS NOT NULL"))
     train, held = split_train_test(rows, test, seed)
-    names = StringIndexer(inputCol="label", outputCol="target", stringOrderType="alphabetAsc", handleInvalid="keep").fit(train)
+    names = StringIndexer(inputCol="label", outputCol="target", stringOrderType="alphabetAsc").fit(train)
     weights = class_weights(train, "label").withColumnRenamed("class", "label")
     train = lookup_join(train, weights, ["label"], "inner").withColumn("vector", array_to_vector("features"))
     forest = RandomForestClassifier(
         featuresCol="vector", labelCol="target", weightCol="weight", numTrees=trees, impurity="gini", maxDepth=depth,
         minInstancesPerNode=max(1, min_split // 2), seed=seed,
     ).fit(names.transform(train))
-    back = IndexToString(inputCol="prediction", outputCol="predicted", labels=names.labels + ["unknown"])
-    scored = back.transform(forest.transform(names.transform(held.withColumn("vector", array_to_vector("features")))))
+    back = IndexToString(inputCol="prediction", outputCol="predicted", labels=names.labels)
+    scored = back.transform(forest.transform(held.withColumn("vector", array_to_vector("features"))))
     importance = rows.sparkSession.createDataFrame(
         [(g, float(v)) for g, v in zip(genes, forest.featureImportances.toArray())], ["gene", "importance"]
     )
