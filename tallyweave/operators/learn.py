@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from ..functions.formulas import ratio
 from .qc import dense_vectors, feature_index
 from .scale import join_hot, lookup_join, materialise, require
+from .ward import cut_tree, ward_tree
 
 
 class FourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -238,13 +239,9 @@ def gmm(emb: DataFrame, k: int, seed: int = 52) -> DataFrame:
     )
 
 
-def agglomerative(emb: DataFrame, k: int, seed: int = 52) -> DataFrame:
-    """(cell_id, cluster): ``k`` nested clusters, by bisecting k-means in place of bottom-up Ward merging."""
-    from pyspark.ml.clustering import BisectingKMeans
-
-    rows = materialise(emb.select("cell_id", array_to_vector("vec").alias("features")))
-    model = BisectingKMeans(k=k, seed=seed, maxIter=10).fit(rows)
-    return model.transform(rows).select("cell_id", F.col("prediction").cast("long").alias("cluster"))
+def agglomerative(emb: DataFrame, k: int, neighbours: int = 15) -> DataFrame:
+    """(cell_id, cluster): ``k`` clusters of Ward's tree on the graph of nearest ``neighbours`` (:mod:`.ward`)."""
+    return cut_tree(emb, materialise(ward_tree(emb, neighbours)), k)
 
 
 def voted_labels(cells: DataFrame, truth: str, pred: str) -> DataFrame:
