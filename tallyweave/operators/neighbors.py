@@ -1,7 +1,8 @@
 """Nearest neighbours and the cell graphs built from them.
 
 The neighbour search never emits pairs of cells as rows.  Vectors are packed into tiles of bounded size around a
-bounded number of pivots; a row of work is a pair of tiles, and only the k best neighbours per query leave it.
+bounded number of pivots; a row of work is a pair of tiles, read from the written tiles and not shuffled.  A task keeps the k best
+of its queries over all tiles that it goes through, and only they leave it.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .scale import any_hot, join_hot, materialise, require
+from .scale import any_hot, join_hot, lookup_join, materialise, require
 
 MAX_PIVOTS = 2048
 """Largest number of pivots; their distance matrix is the only search structure held by the driver."""
@@ -18,6 +19,9 @@ MAX_PIVOTS = 2048
 TILE_ROWS = 512
 """Vectors per tile."""
 
+SLAB_BYTES = 1 << 26
+"""Bytes of vectors that a task goes through for its queries, and holds."""
+
 
 def unit_centred(emb: DataFrame) -> DataFrame:
     """Centre and normalise each vector, so that half the squared distance is 1 - Pearson."""
@@ -65,7 +69,6 @@ def knn(
 def _search(reps: DataFrame, n: int, k: int, probe, tile_rows: int) -> DataFrame:
     import numpy as np
 
-    spark = reps.sparkSession
     n_pivots = max(1, min(MAX_PIVOTS, n // tile_rows))
     drawn = reps.orderBy(F.md5(F.col("rep").cast("string")), "rep").limit(n_pivots).collect()  # <= MAX_PIVOTS rows
     pivots = np.array([r["vec"] for r in drawn], dtype=float)
@@ -85,94 +88,125 @@ def _search(reps: DataFrame, n: int, k: int, probe, tile_rows: int) -> DataFrame
             yield out
 
     placed = materialise(reps.mapInPandas(assign, f"rep {id_kind}, vec array<double>, block int, radius double"))
-    blocks = placed.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.max("radius").alias("reach"))
-    blocks = sorted(tuple(r) for r in blocks.collect())  # <= MAX_PIVOTS rows
-    sizes = spark.createDataFrame([(b, max(1, math.ceil(s / tile_rows))) for b, s, _ in blocks], "block int, tiles int")
-    tiled = placed.join(F.broadcast(sizes), "block").withColumn("tile", F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int"))
-    packed = tiled.groupBy("block", "tile").agg(
-        F.collect_list(F.struct("rep", "vec")).alias("rows"), F.max("radius").alias("radius")
-    )  # about tile_rows vectors each, by hash
-    packed = materialise(
-        packed.select(
-            "block", "tile", "radius",
-            F.transform("rows", lambda r: r["rep"]).alias("ids"),
-            F.flatten(F.transform("rows", lambda r: r["vec"])).alias("mat"),
-        )
-    )
-
-    ids = [b for b, _, _ in blocks]
-    gap = np.sqrt(((pivots[ids][:, None, :] - pivots[ids][None, :, :]) ** 2).sum(2)) if len(ids) <= 256 else np.stack(
-        [np.sqrt(((pivots[ids] - pivots[i]) ** 2).sum(1)) for i in ids]
-    )
-    order = np.argsort(gap, axis=1, kind="stable")
-    wide = len(ids) if probe == "all" else min(len(ids), int(probe))
+    sizes = placed.groupBy("block").agg(F.count(F.lit(1)).alias("size"))  # <= MAX_PIVOTS rows
+    tiled = placed.join(F.broadcast(sizes), "block")
+    tiled = tiled.withColumn("tile", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / tile_rows)).cast("int")).drop("size")
+    wide = len(pivots) if probe == "all" else min(len(pivots), int(probe))
     first = min(wide, 4)
-    exact_later = probe == "all" and first < len(ids)
-    nearest = order[:, : first if exact_later else wide]
-    visit = [(ids[q], ids[int(d)]) for q in range(len(ids)) for d in nearest[q]]
-    found = _compare(packed, spark.createDataFrame(visit, "q_block int, d_block int"), k, dim, id_kind)
-    if not exact_later:
-        return _best(found, k)
-    found = materialise(_best(found, k))
-    # upper bound per query tile: its worst k-th distance so far, endless when a query has fewer than k
-    bound = found.groupBy("cell_id").agg(F.count(F.lit(1)).alias("have"), F.max("dist").alias("worst"))
-    homes = tiled.select("rep", "block", "tile").join(bound.withColumnRenamed("cell_id", "rep"), "rep", "left")
-    endless = F.lit(float("inf"))
-    limit = F.max(F.when(F.col("have") >= k, F.col("worst")).otherwise(endless))
-    bounds = homes.groupBy("block", "tile").agg(limit.alias("limit"))
-    rest = [
-        (ids[q], ids[int(d)], float(gap[q, d]), float(blocks[int(d)][2]))
-        for q in range(len(ids))
-        for d in order[q, first:]
-    ]  # <= MAX_PIVOTS squared
-    pairs = spark.createDataFrame(rest, "q_block int, d_block int, gap double, reach double")
-    tiles = packed.select("block", "tile", "radius").join(bounds, ["block", "tile"])
-    open_pairs = tiles.join(pairs, F.col("block") == F.col("q_block")).where(
-        F.col("gap") - F.col("radius") - F.col("reach") <= F.col("limit") * (1 + 1e-9)
-    )
-    more = _compare(packed, open_pairs.select("q_block", F.col("tile").alias("q_tile"), "d_block"), k, dim, id_kind)
-    return _best(found.select("cell_id", "nbr_id", "dist").unionByName(more), k)
+    exact_later = probe == "all" and first < len(pivots)
 
+    def pack(pdf):
+        import numpy as np
+        import pandas as pd
 
-def _compare(packed: DataFrame, pairs: DataFrame, k: int, dim: int, id_kind: str) -> DataFrame:
-    """Candidates (cell_id, nbr_id, dist): the k best of every query in every tile pair.
-
-    Block pairs are first resolved to tile pairs, so that the vectors meet by tile and a crowded block is spread.
+        block = int(pdf["block"].iloc[0])
+        gap = np.sqrt(((pivots - pivots[block]) ** 2).sum(1))
+        near = np.argsort(gap, kind="stable")[: first if exact_later else wide].astype("int32")
+        return pd.DataFrame({
+            "block": [block], "tile": [pdf["tile"].iloc[0]], "radius": [pdf["radius"].max()], "near": [near], "gap": [gap],
+            "ids": [pdf["rep"].to_numpy()], "mat": [np.stack(pdf["vec"].to_numpy()).astype(float).tobytes()],
+        })
+
+    # about tile_rows vectors in each group, by hash
+    packed = tiled.groupBy("block", "tile").applyInPandas(
+        pack, f"block int, tile int, radius double, near array<int>, gap array<double>, ids array<{id_kind}>, mat binary"
+    )
+    files = max(1, min(n // tile_rows, 2 * reps.sparkSession.sparkContext.defaultParallelism))
+    packed = materialise(packed.repartition(files))
+    slabs = max(1, math.ceil(8 * n * dim / SLAB_BYTES))
+    listed = F.array_contains("q_near", F.col("d_block"))
+    found = _best(_compare(packed.withColumn("limit", F.lit(float("inf"))), packed, listed, slabs, k, dim, id_kind), k)
+    if not exact_later:
+        return found
+    found = materialise(found)
+    # upper bound per query tile: its worst k-th distance so far, endless when its queries have fewer than k
+    per_cell = found.groupBy("block", "tile", "cell_id").agg(F.count(F.lit(1)).alias("have"), F.max("dist").alias("worst"))
+    limit = F.when(F.min("have") >= k, F.max("worst"))
+    bounds = materialise(per_cell.groupBy("block", "tile").agg(limit.alias("limit")))
+    bounded = lookup_join(packed, bounds, ["block", "tile"])
+    bounded = bounded.withColumn("limit", F.coalesce(F.col("limit") * (1 + 1e-9), F.lit(float("inf"))))
+    gap = F.col("q_gap")[F.col("d_block")]
+    open_ = ~listed & (gap - F.col("q_radius") - F.col("d_radius") <= F.col("q_limit"))
+    more = _compare(bounded, packed, open_, slabs, k, dim, id_kind)
+    return _best(found.drop("rank").unionByName(more), k)
+
+
+def _compare(queries: DataFrame, packed: DataFrame, route, slabs: int, k: int, dim: int, id_kind: str) -> DataFrame:
+    """Candidates (block, tile, cell_id, nbr_id, dist): the k best of every query among the tiles of every slab that ``route`` leads to.
+
+    Tiles meet by a product of two written tables, which reads them and shuffles nothing.  A task goes through one slab of tiles for
+    each of its query tiles and keeps the k best of all of them, so what leaves it does not grow with the pairs of tiles.
     """
-    tiles = packed.select("block", "tile")
     named = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns])
-    if "q_tile" not in pairs.columns:
-        pairs = pairs.join(named(tiles, "q"), "q_block")
-    pairs = pairs.join(named(tiles, "d"), "d_block")
-    whole = packed.select("block", "tile", "ids", "mat")
-    work = pairs.join(named(whole, "q"), ["q_block", "q_tile"]).join(named(whole, "d"), ["d_block", "d_tile"])
-    work = work.select("q_ids", "q_mat", "d_ids", "d_mat")
-
-    def nearest(frames):
-        import numpy as np
-        import pandas as pd
+    d = named(packed.select("block", "tile", "radius", "ids", "mat").coalesce(slabs), "d")
+    work = named(queries, "q").join(d.hint("shuffle_replicate_nl"), route)
+    work = work.select("q_block", "q_tile", "q_limit", "q_ids", "q_mat", "d_block", "d_tile", "d_ids", "d_mat")
 
-        for pdf in frames:
-            for q_ids, q_mat, d_ids, d_mat in pdf.itertuples(index=False):
-                q = np.asarray(q_mat, dtype=float).reshape(-1, dim)
-                d = np.asarray(d_mat, dtype=float).reshape(-1, dim)
-                q_ids, d_ids = np.asarray(q_ids), np.asarray(d_ids)
-                qq, dd = (q * q).sum(1), (d * d).sum(1)
-                rough = qq[:, None] + dd[None, :] - 2 * (q @ d.T)
-                rough[q_ids[:, None] == d_ids[None, :]] = np.inf
-                kk = min(k, d.shape[0])
+    def nearest(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        names = ["block", "tile", "cell_id", "nbr_id", "dist"]
+        home = None
+
+        def numbers(batch, name, row):
+            return np.asarray(batch.column(name)[row].values.to_pylist())
+
+        def told():
+            at, dist, nbr = best
+            kind = pa.string() if id_kind == "string" else None
+            fixed = [pa.array(np.full(len(at), v, dtype="int32")) for v in home]
+            return pa.record_batch([*fixed, pa.array(q_ids[at], kind), pa.array(nbr, kind), pa.array(dist)], names=names)
+
+        for batch in batches:
+            q_homes = list(zip(batch.column("q_block").to_pylist(), batch.column("q_tile").to_pylist()))
+            d_homes = list(zip(batch.column("d_block").to_pylist(), batch.column("d_tile").to_pylist()))
+            for row, (q_home, d_home) in enumerate(zip(q_homes, d_homes)):
+                if q_home != home:
+                    if home is not None and len(best[0]):
+                        yield told()
+                    home = q_home
+                    q = np.frombuffer(batch.column("q_mat")[row].as_buffer()).reshape(-1, dim).copy()
+                    q_ids, qq = numbers(batch, "q_ids", row), (q * q).sum(1)
+                    worst = np.full(len(q), batch.column("q_limit")[row].as_py())
+                    best = (np.empty(0, int), np.empty(0), q_ids[:0])
+                d = np.frombuffer(batch.column("d_mat")[row].as_buffer()).reshape(-1, dim)
+                dd = (d * d).sum(1)
+                rough = q @ d.T
+                rough *= -2
+                rough += qq[:, None]
+                rough += dd[None, :]
+                if q_home == d_home:
+                    np.fill_diagonal(rough, np.inf)
                 # everything that rounding could still place among the k best is measured exactly
                 slack = 1e-11 * (1 + qq + dd.max())
-                cut = np.partition(rough, kk - 1, axis=1)[:, kk - 1] + slack
-                at, of = np.nonzero(rough <= np.where(np.isfinite(cut), cut, np.finfo(float).max)[:, None])
+                cut = worst * worst + slack
+                unsure = np.flatnonzero(~np.isfinite(cut))
+                if len(unsure):
+                    kk = min(k, len(d))
+                    cut[unsure] = np.partition(rough[unsure], kk - 1, axis=1)[:, kk - 1] + slack[unsure]
+                cut = np.minimum(cut, np.finfo(float).max)
+                at, of = np.nonzero(rough <= cut[:, None])
+                if not len(at):
+                    continue
                 dist = np.sqrt(((q[at] - d[of]) ** 2).sum(1))
-                rank = np.lexsort((d_ids[of], dist, at))
-                at, of, dist = at[rank], of[rank], dist[rank]
+                moved = np.zeros(len(q), bool)
+                moved[at] = True
+                again = moved[best[0]]
+                at = np.concatenate([best[0][again], at])
+                dist = np.concatenate([best[1][again], dist])
+                nbr = np.concatenate([best[2][again], numbers(batch, "d_ids", row)[of]])
+                rank = np.lexsort((nbr, dist, at))
+                at, dist, nbr = at[rank], dist[rank], nbr[rank]
                 place = np.arange(len(at)) - np.searchsorted(at, at, side="left")
+                last = place == k - 1
+                worst[at[last]] = np.minimum(worst[at[last]], dist[last])
                 keep = place < k
-                yield pd.DataFrame({"cell_id": q_ids[at[keep]], "nbr_id": d_ids[of[keep]], "dist": dist[keep]})
+                best = tuple(np.concatenate([old[~again], new[keep]]) for old, new in zip(best, (at, dist, nbr)))
+        if home is not None and len(best[0]):
+            yield told()
 
-    return work.mapInPandas(nearest, f"cell_id {id_kind}, nbr_id {id_kind}, dist double")
+    return work.mapInArrow(nearest, f"block int, tile int, cell_id {id_kind}, nbr_id {id_kind}, dist double")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
