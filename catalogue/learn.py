@@ -69,8 +69,8 @@ def _(t):
     genes = qc.selected_genes(qc.variable_genes_mvp(t.expr, t.cells))
     vectors, _ = learn.feature_matrix(t.expr, t.cells, genes)
     out = vectors.select(
-        "cell_id", F.size("features").cast("long").alias("width"), F.aggregate("features", F.lit(0.0), ADD).alias("total"),
-        F.aggregate(F.transform("features", lambda v, i: v * (i + 1)), F.lit(0.0), ADD).alias("weighted"),
+        "cell_id", F.col("features.size").cast("long").alias("width"), F.aggregate("features.to", F.lit(0.0), ADD).alias("total"),
+        F.aggregate(F.zip_with("features.at", "features.to", lambda i, v: (i + 1) * v), F.lit(0.0), ADD).alias("weighted"),
     )
     return rounded(rounded(out, 5, "total"), 4, "weighted")
 

@@ -7,15 +7,16 @@ import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions.formulas import ratio
-from .qc import dense_vectors, feature_index
-from .scale import join_hot, lookup_join, materialise, require
+from .scale import global_position, join_hot, lookup_join, materialise, require
 from .ward import cut_tree, ward_tree
 
 
@@ -51,15 +52,28 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParamsReada
 
 
 def feature_matrix(expr: DataFrame, cells: DataFrame, genes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(cell_id, features) in gene-id order with zeros for absent values, and the listed genes without any value."""
-    index = feature_index(genes)
-    spark = expr.sparkSession
-    kind = expr.schema["gene_id"].dataType
-    table = F.broadcast(spark.createDataFrame(list(index.items()), f"gene_id {kind.simpleString()}, _i int"))  # at most MAX_FEATURES rows
-    stored = expr.join(table, "gene_id").groupBy("cell_id").agg(F.collect_list("_i").alias("_at"), F.collect_list("x").alias("_to"))
-    full = cells.select("cell_id").join(stored, "cell_id", "left")
+    """(cell_id, features), and the listed genes without any value.
+
+    ``features`` is a sparse vector as a struct: its ``size`` and, in gene-id order, the places ``at`` from 0 and values ``to`` of what
+    the cell holds; everything else is zero.  Any number of genes will do: no row is wider than its cell."""
+    index = materialise(global_position(genes.select("gene_id").distinct(), ["gene_id"], "_pos"))
+    size = index.count()
+    index = index.select("gene_id", (F.col("_pos") - 1).cast("int").alias("at"))
+    held = lookup_join(expr.select("cell_id", "gene_id", "x"), index, ["gene_id"], "inner")
+    stored = held.groupBy("cell_id").agg(F.array_sort(F.collect_list(F.struct("at", F.col("x").cast("double").alias("to")))).alias("_e"))
+    entries = F.coalesce("_e", F.array().cast("array<struct<at:int,to:double>>"))
+    features = F.struct(F.lit(size).alias("size"), entries["at"].alias("at"), entries["to"].alias("to"))
+    vectors = cells.select("cell_id").join(stored, "cell_id", "left").select("cell_id", features.alias("features"))
     missing = genes.select("gene_id").distinct().join(expr.select("gene_id").distinct(), "gene_id", "left_anti")
-    return dense_vectors(full, [0.0] * len(index), "features"), missing
+    return vectors, missing
+
+
+def with_vector(rows: DataFrame) -> DataFrame:
+    """Add ``vector``, the machine-learning vector of ``features``: an array, or a sparse one as :func:`feature_matrix` gives it."""
+    if isinstance(rows.schema["features"].dataType, ArrayType):
+        return rows.withColumn("vector", array_to_vector("features"))
+    sparse = F.udf(lambda f: Vectors.sparse(f["size"], f["at"], f["to"]), VectorUDT())
+    return rows.withColumn("vector", sparse("features"))
 
 
 def split_train_test(rows: DataFrame, test: float, seed: int) -> tuple[DataFrame, DataFrame]:
@@ -87,11 +101,10 @@ def train_classifier(
     require(rows, "cell_id", "features", "label")
     rows = materialise(rows.select("cell_id", "features", "label").where("label IS NOT NULL"))
     train, held = split_train_test(rows, test, seed)
-    train = train.withColumn("vector", array_to_vector("features"))
-    held = held.withColumn("vector", array_to_vector("features"))
+    train, held = with_vector(train), with_vector(held)
     names = StringIndexer(inputCol="label", outputCol="target", stringOrderType="alphabetAsc").fit(train)
     n = train.count()
-    width = len(rows.select("features").first()[0]) if n else 0
+    width = with_vector(rows).select("vector").first()[0].size if n else 0
     if not width:
         raise ValueError("no labelled cells, or no genes to train on")
     reduce = PCA(k=width, inputCol="vector", outputCol="every_pc").fit(train)
@@ -159,7 +172,7 @@ def apply_classifier(rows: DataFrame, folder: str, name: str, out_col: str) -> D
         print(f"no classifier {name!r}; available: {known}")
         return None
     model = PipelineModel.load(f"{folder.rstrip('/')}/{name}")
-    out = model.transform(rows.withColumn("vector", array_to_vector("features")))
+    out = model.transform(with_vector(rows))
     return out.select(*rows.columns, F.col("predicted").alias(out_col))
 
 
@@ -215,13 +228,13 @@ def discriminatory_power(rows: DataFrame, genes: list, trees: int = 500, test: f
     train, held = split_train_test(rows, test, seed)
     names = StringIndexer(inputCol="label", outputCol="target", stringOrderType="alphabetAsc").fit(train)
     weights = class_weights(train, "label").withColumnRenamed("class", "label")
-    train = lookup_join(train, weights, ["label"], "inner").withColumn("vector", array_to_vector("features"))
+    train = with_vector(lookup_join(train, weights, ["label"], "inner"))
     forest = RandomForestClassifier(
         featuresCol="vector", labelCol="target", weightCol="weight", numTrees=trees, impurity="gini", maxDepth=depth,
         minInstancesPerNode=max(1, min_split // 2), seed=seed,
     ).fit(names.transform(train))
     back = IndexToString(inputCol="prediction", outputCol="predicted", labels=names.labels)
-    scored = back.transform(forest.transform(held.withColumn("vector", array_to_vector("features"))))
+    scored = back.transform(forest.transform(with_vector(held)))
     importance = rows.sparkSession.createDataFrame(
         [(g, float(v)) for g, v in zip(genes, forest.featureImportances.toArray())], ["gene", "importance"]
     )
