@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyweave.functions.formulas import two_sided_normal
 from tallyweave.operators import markers, profile, qc
+from tallyweave.operators.scale import materialise, tasks_for
 
 from .base import CELLS, COUNTS, EXPR, GENES, beta_sql, query, rounded
 
@@ -60,9 +61,15 @@ def _(t):
     return shown(markers.top_markers(rounded(found, 9, "avg_logFC"), 10))
 
 
+def _written(t):
+    """Expression, written once; cells are totalled by as many tasks as the counts ask for."""
+    counts = materialise(t.counts)
+    return materialise(qc.log_normalise(counts.repartition(tasks_for(t.spark, counts.count()), "cell_id")))
+
+
 @query("markers_one_vs_rest", f"WITH {EXPR}, {CELLS}, {one_vs_rest_sql(0.002, 0.05)} SELECT cluster, gene, {TEST_COLUMNS} FROM scored")
 def _(t):
-    return shown(markers.markers_one_vs_rest(t.expr, t.cells, "label", min_pct=0.002, logfc=0.05))
+    return shown(markers.markers_one_vs_rest(_written(t), t.cells, "label", min_pct=0.002, logfc=0.05))
 
 
 CAPPED = CELLS.replace("cells AS", "everyone AS") + """, cells AS (SELECT * FROM everyone

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.formulas import bind, ratio, two_sided_normal, upper_f
 from .qc import downsample_per_label
-from .scale import in_pieces, join_hot, lookup_join, materialise, quantiles, require, running
+from .scale import in_pieces, join_hot, lookup_join, materialise, quantiles, require, running, tasks_for
 
 BLOCKS_PER_UNIT = 32.0
 """Blocks of the value axis per unit of log-normalised expression."""
@@ -70,12 +70,17 @@ def markers_one_vs_rest(
     """Every label against all other cells, all labels in one plan.
 
     ``max_cells`` caps every label first (a fixed md5 order), and the test then runs on the capped cells.
-    The Bonferroni factor is the number of genes present in ``expr``.
+    The Bonferroni factor is the number of genes present in ``expr``, which is read three times: pass a written table, or one that is
+    cheap to make.  Tasks are as many as its rows ask for.
     """
     n_genes = expr.select("gene_id").distinct().agg(F.count(F.lit(1)).alias("g")).scalar()
     if max_cells is not None:
         cells = downsample_per_label(cells, label, max_cells, seed)
-    tally = label_tally(expr, cells, label).withColumn("_block", value_block(F.col("x")))
+    tasks = tasks_for(expr.sparkSession, expr.count())
+    labelled = expr.where(F.col("x") != 0).select("cell_id", "gene_id", "x").repartition(tasks, "cell_id")
+    labelled = labelled.join(cells.select("cell_id", F.col(label).alias("label")), "cell_id").withColumn("_block", value_block(F.col("x")))
+    # dealt once by gene and block, which serves the tally, the order inside a block and its sums
+    tally = labelled.repartition(tasks, "gene_id", "_block").groupBy("gene_id", "_block", "x", "label").agg(F.count(F.lit(1)).alias("c"))
     piece = Window.partitionBy("gene_id", "_block")
     ranked = tally.select(
         "gene_id", "_block", "label", "c", "x",
@@ -91,7 +96,7 @@ def markers_one_vs_rest(
     )
     below = Window.partitionBy("gene_id").orderBy("_block").rangeBetween(Window.unboundedPreceding, -1)
     # counts below a block, over the few (block, label) rows of a gene
-    pieces = pieces.withColumn("below", F.coalesce(F.sum("c").over(below), F.lit(0)))
+    pieces = pieces.repartition(tasks, "gene_id").withColumn("below", F.coalesce(F.sum("c").over(below), F.lit(0)))
     sizes = label_sizes(cells, label)
     all_labels = sizes.agg(F.collect_list(F.struct("label", "n")).alias("a")).scalar()
     per_label = pieces.groupBy("gene_id", "label").agg(
