@@ -15,6 +15,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -126,8 +127,8 @@ def json_text(*parts: str) -> list[str]:
     return [json.dumps(p)[1:-1] for p in parts]
 
 
-#: A word of plain letters, and the signs after it, which a tokenizer of this kind takes for one pre-token each.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*#$%&]*)")
+#: A word of plain letters, and the signs after it, which a tokenizer of this kind takes for one pre-token each; nothing of any other word. One word a line.
+PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*#$%&]*)|.*)$", re.MULTILINE)
 
 
 class Words:
@@ -147,6 +148,10 @@ class Words:
             self.ends[i] = bool(end) and token.endswith(end)
         self.known: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        self.four = [x.tobytes() for x in np.arange(len(self.ends), dtype="<u4")]
+        named = [t["content"] for t in rules.get("added_tokens") or []]
+        straight = [n.get("type") for n in (rules["pre_tokenizer"] or {}).get("pretokenizers", [])] == ["Split", "ByteLevel"] and not rules["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"]
+        self.direct = self.parts_letters and straight and not any(map(str.isalpha, named))
 
     @classmethod
     def of(cls, path: str) -> Words:
@@ -158,22 +163,36 @@ class Words:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def fill(self, words: list[str]) -> dict[str, bytes]:
-        """Encode words. Plain ones are letters and signs, which are encoded many in one call and kept apart by the tokens
-        that end a word; if their number is not as expected, and for all other words, each is encoded for itself."""
-        split = {w: (m[1].lower(), m[2]) for w in words if self.parts_letters and (m := PLAIN.fullmatch(w))}
-        new = sorted({p for pair in split.values() for p in pair} - self.parts.keys())
-        for i in range(0, len(new), 512):
-            some = new[i : i + 512]
+        """Encode words. Plain ones are letters and signs, each encoded once; for all other words each is encoded for itself."""
+        if not self.parts_letters:
+            return {w: self.whole(w) for w in words}
+        split = PLAIN.findall("\n".join(words))
+        letters, signs = [x.lower() for x, _ in split], [x for _, x in split]
+        self.learn(set(letters).union(signs).difference(self.parts))
+        of = self.parts.__getitem__
+        out = dict(zip(words, map(add, map(of, letters), map(of, signs))))
+        out.update((w, self.whole(w)) for w, x in zip(words, letters) if not x)
+        if len(self.parts) > CACHED:
+            self.parts = {"": b""}
+        return out
+
+    def learn(self, new: set[str]) -> None:
+        """Encode pre-tokens. Lower-case ASCII letters are what the merges see of them, so they go straight there; the others are encoded
+        many in one call and kept apart by the tokens that end a word, and one by one if their number is not as expected."""
+        if self.direct:
+            merged, four = self.tokenizer.model.tokenize, self.four
+            plain = [p for p in new if p.isascii() and p.isalpha()]
+            self.parts.update(zip(plain, [b"".join([four[t.id] for t in merged(p)]) for p in plain]))
+            new = new.difference(plain)
+        rest = sorted(new)
+        for i in range(0, len(rest), 512):
+            some = rest[i : i + 512]
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(cuts) == len(some) and cuts[-1] == len(ids):
                 self.parts.update((p, ids[b:e].tobytes()) for p, b, e in zip(some, [0, *cuts], cuts))
             else:
                 self.parts.update((p, self.whole(p)) for p in some)
-        out = {w: self.parts[split[w][0]] + self.parts[split[w][1]] if w in split else self.whole(w) for w in words}
-        if len(self.parts) > CACHED:
-            self.parts = {"": b""}
-        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [None if SEPARATORS.search(t) else t.split() for t in texts]
