@@ -15,7 +15,8 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
-from operator import add
+from itertools import compress, count, repeat
+from operator import add, is_
 
 import numpy as np
 import pyarrow as pa
@@ -120,15 +121,20 @@ def windows(sizes: np.ndarray, capacity: int = CAPACITY, slack: float = SLACK) -
 
 
 #: These count as white space for str.split and not for the tokenizer.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Text bytes whose words are looked up together: few enough that they stay in the processor's cache.
+TOGETHER = 1 << 18
 
 
 def json_text(*parts: str) -> list[str]:
     return [json.dumps(p)[1:-1] for p in parts]
 
 
-#: A word of plain letters, and the signs after it, which a tokenizer of this kind takes for one pre-token each; nothing of any other word. One word a line.
-PLAIN = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|*#$%&]*)|.*)$", re.MULTILINE)
+#: A tokenizer of this kind takes a word's plain letters for one pre-token, and the signs after them for another.
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+SIGNS = ".,;:!?|*#$%&"
+#: The signs that stand for bytes above ASCII and are not the byte's own character, in tokenizers that work on bytes.
+BYTE_SIGNS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173]) if b > 127}
 
 
 class Words:
@@ -166,23 +172,26 @@ class Words:
         """Encode words. Plain ones are letters and signs, each encoded once; for all other words each is encoded for itself."""
         if not self.parts_letters:
             return {w: self.whole(w) for w in words}
-        split = PLAIN.findall("\n".join(words))
-        letters, signs = [x.lower() for x, _ in split], [x for _, x in split]
+        bare = [w.rstrip(SIGNS) for w in words]
+        letters = [x.lower() if x.isalpha() and (x.isascii() or LETTERS(x)) else "" for x in bare]
+        signs = [w[len(x) :] for w, x in zip(words, bare)]
         self.learn(set(letters).union(signs).difference(self.parts))
         of = self.parts.__getitem__
         out = dict(zip(words, map(add, map(of, letters), map(of, signs))))
-        out.update((w, self.whole(w)) for w, x in zip(words, letters) if not x)
+        if "" in letters:
+            out.update((w, self.whole(w)) for w, x in zip(words, letters) if not x)
         if len(self.parts) > CACHED:
             self.parts = {"": b""}
         return out
 
     def learn(self, new: set[str]) -> None:
-        """Encode pre-tokens. Lower-case ASCII letters are what the merges see of them, so they go straight there; the others are encoded
+        """Encode pre-tokens. The merges see lower-case letters by a sign for each byte, so these go straight there; the others are encoded
         many in one call and kept apart by the tokens that end a word, and one by one if their number is not as expected."""
         if self.direct:
             merged, four = self.tokenizer.model.tokenize, self.four
-            plain = [p for p in new if p.isascii() and p.isalpha()]
-            self.parts.update(zip(plain, [b"".join([four[t.id] for t in merged(p)]) for p in plain]))
+            plain = list(filter(str.isalpha, new))
+            seen = [p if p.isascii() else p.encode().decode("latin-1").translate(BYTE_SIGNS) for p in plain]
+            self.parts.update(zip(plain, [b"".join([four[t.id] for t in merged(x)]) for x in seen]))
             new = new.difference(plain)
         rest = sorted(new)
         for i in range(0, len(rest), 512):
@@ -195,22 +204,19 @@ class Words:
                 self.parts.update((p, self.whole(p)) for p in some)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [None if SEPARATORS.search(t) else t.split() for t in texts]
-        found = [None if words is None else list(map(self.known.get, words)) for words in cut]
-        missed = {w for words, ids in zip(cut, found) if ids and None in ids for w, x in zip(words, ids) if x is None}
-        new = self.fill(sorted(missed)) if missed else {}
-        out = []
-        for text, words, ids in zip(texts, cut, found):
-            if words is None:
-                out.append(self.whole(text))
-            elif None in ids:
-                out.append(b"".join([new[w] if x is None else x for w, x in zip(words, ids)]))
-            else:
-                out.append(b"".join(ids))
+        """Ids of whole texts: each word is looked up once, and what the cache did not have is encoded and put in."""
+        cut = [None if any(map(t.__contains__, SEPARATORS)) else t.split() for t in texts]
+        get, nothing = self.known.get, repeat(None)
+        found = [words and list(map(get, words)) for words in cut]
+        holes = [ids and list(compress(count(), map(is_, ids, nothing))) for ids in found]
+        new = self.fill(list({words[i] for words, at in zip(cut, holes) if at for i in at}))
+        for words, ids, at in zip(cut, found, holes):
+            for i in at or ():
+                ids[i] = new[words[i]]
         if len(self.known) + len(new) > CACHED:
             self.known = {}
-        self.known.update((w, x) for w, x in new.items() if len(w) <= LONGEST)
-        return out
+        self.known.update(new if max(map(len, new), default=0) <= LONGEST else {w: x for w, x in new.items() if len(w) <= LONGEST})
+        return [self.whole(text) if ids is None else b"".join(ids) for text, ids in zip(texts, found)]
 
 
 CACHES.append(Words.open)
@@ -253,7 +259,7 @@ def pack(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str = "text"
             given, held, waiting, bulk = [], [], 0, 0
             return pa.record_batch(out + ([pa.array(parts, pa.binary())] if ids else []), names=kind.names)
 
-        for block, _, _ in text_blocks(batches, cache=Words.open):
+        for block, _, _ in text_blocks(batches, limit=TOGETHER, cache=Words.open):
             given.append(block.column(0))
             new = [x + last for x in words.encode(block.column(1).to_pylist())]
             held += new
