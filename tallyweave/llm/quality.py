@@ -76,20 +76,27 @@ def features(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def moments(*parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and spread of all rows in double precision, without a second copy of them."""
+    n = sum(map(len, parts))
+    blocks = [x[i : i + BATCH] for x in parts for i in range(0, len(x), BATCH)]
+    mean = sum(b.sum(0, dtype=np.float64) for b in blocks) / n
+    return mean, np.sqrt(sum(((b - mean) ** 2).sum(0) for b in blocks) / n) + 0.02
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 7) -> dict[str, np.ndarray]:
-    """The network's weights after EPOCHS passes of Adam over the non-negative risk."""
+    """The network's weights after EPOCHS passes of Adam over the non-negative risk. Rows are scaled, in double precision, a step at a time."""
     rng = np.random.default_rng(seed)
-    every = np.concatenate([positive, unlabelled])
-    mean, scale = every.mean(0), every.std(0) + 0.02
-    p, u = (positive - mean) / scale, (unlabelled - mean) / scale
-    w = {"a": rng.normal(0, 1 / np.sqrt(p.shape[1]), (p.shape[1], HIDDEN)), "b": np.zeros(HIDDEN), "c": rng.normal(0, 0.1, HIDDEN), "d": np.zeros(1)}
+    p, u, width = positive, unlabelled, positive.shape[1]
+    mean, scale = moments(p, u)
+    w = {"a": rng.normal(0, 1 / np.sqrt(width), (width, HIDDEN)), "b": np.zeros(HIDDEN), "c": rng.normal(0, 0.1, HIDDEN), "d": np.zeros(1)}
     m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     steps, step = max(1, -(-max(len(p), len(u)) // BATCH)), 0
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
     for _ in range(max(EPOCHS, 600 // steps)):
         order_p, order_u = rng.permutation(len(p)), rng.permutation(len(u))
         for i in range(steps):
-            x = np.concatenate([p[order_p[i::steps]], u[order_u[i::steps]]])
+            x = (np.concatenate([p[order_p[i::steps]], u[order_u[i::steps]]]) - mean) / scale
             k = len(order_p[i::steps])
             if k == 0 or k == len(x):
                 continue
@@ -150,11 +157,12 @@ def train(docs: DataFrame, labels: DataFrame, id: str, text: str, label: str, sa
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(picked, "id")
     rows = rows.groupBy("id", "positive").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one row an id, however often it is repeated
     got = rows.mapInArrow(describe, rows.select("id", "positive").schema.add("x", T.ArrayType(T.FloatType()))).toArrow()
-    x = np.asarray(got.column("x").combine_chunks().flatten(), np.float64).reshape(-1, WIDTH)
+    x = np.asarray(got.column("x").combine_chunks().flatten()).reshape(-1, WIDTH)
     flag = np.asarray(got.column("positive"))
     order = np.lexsort((*x.T[:3], np.asarray(got.column("id").cast(pa.string())).astype(str)))
-    x, flag = x[order], flag[order]
-    return fit(x[flag], x[~flag], prior) if flag.any() and not flag.all() else None
+    del got
+    flag = flag[order]
+    return fit(x[order[flag]], x[order[~flag]], prior) if flag.any() and not flag.all() else None
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", threshold: float = 0.7, sample: int = SAMPLE, keep: tuple[str, ...] = ()) -> DataFrame:
