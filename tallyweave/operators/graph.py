@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.formulas import ratio
-from .scale import LOOKUP_ROWS, any_hot, join_hot, lookup_join, materialise, require
+from .scale import LOOKUP_ROWS, any_hot, global_position, join_hot, lookup_join, materialise, require
 
 
 def symmetric(edges: DataFrame) -> DataFrame:
@@ -250,50 +251,155 @@ def spread(t: DataFrame, values: DataFrame, width: int, rows: DataFrame | None =
     return sums.select("node", F.array(*[f"_{i}" for i in range(width)]).alias("y"))
 
 
-def _gram(df: DataFrame, column: str, width: int):
-    """``width`` x ``width`` cross-products of an array column, summed by Spark, as a numpy array."""
-    import numpy as np
+BLOCK_NODES = 1 << 14
+"""Nodes of a block of vectors."""
+
+SLAB_BYTES = 1 << 28
+"""Bytes of vectors that a task meets with its tiles, and holds."""
+
+ENTRIES_AT_ONCE = 1 << 17
+
 
-    def partial(frames: Iterator):
+def _in_tiles(t: DataFrame, nodes: DataFrame, hot: bool) -> tuple[DataFrame, DataFrame]:
+    """The symmetric matrix ``t`` in tiles (p, s, size, at, of, t), and its nodes in blocks (p, ids, mat) that hold the columns ``v``.
+
+    nodes: (node, v, _rows).  Blocks follow the order of nodes; a tile holds the entries between two blocks, in order of ``at``.  All
+    tiles of a block p lie one after another."""
+    import numpy as np
+    import pyarrow as pa
+
+    placed = materialise(global_position(nodes, ["node"], "_no").withColumn("_no", F.col("_no") - 1))
+    n = placed.count()
+    per = max(1, min(BLOCK_NODES, max(1024, -(-n // (2 * t.sparkSession.sparkContext.defaultParallelism)))))
+    block = F.floor(F.col("_no") / per).cast("int")
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.take(pa.array(np.argsort(np.asarray(table.column("_no")))))
+        mat = np.asarray(table.column("v").combine_chunks().flatten()).astype(float)
+        ids = table.column("node").combine_chunks()
+        listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+        return pa.table({"p": table.column("p").slice(0, 1), "ids": listed, "mat": pa.array([mat.tobytes()], pa.binary())})
+
+    kind = nodes.schema["node"].dataType.simpleString()
+    blocks = placed.select(block.alias("p"), "_no", "node", "v").groupBy("p").applyInArrow(pack, f"p int, ids array<{kind}>, mat binary")
+    side = lambda end, no: placed.select(F.col("node").alias(end), F.col("_no").alias(no), "_rows")
+    both = join_hot(join_hot(t, side("src", "_i"), ["src"], "_rows", hot=hot), side("dst", "_j"), ["dst"], "_rows", hot=hot)
+    of = lambda no: F.floor(F.col(no) / per).cast("int")
+    entries = both.select(of("_i").alias("p"), of("_j").alias("s"), (F.col("_i") % per).cast("int").alias("at"), (F.col("_j") % per).cast("int").alias("of"), "t")
+
+    def tile(table: pa.Table) -> pa.Table:
+        at, of, t = (np.asarray(table.column(c)) for c in ("at", "of", "t"))
+        order = np.lexsort((of, at))
+        p = table.column("p")[0].as_py()
+        raw = [pa.array([np.ascontiguousarray(v[order]).tobytes()], pa.binary()) for v in (at.astype(np.int32), of.astype(np.int32), t.astype(float))]
+        return pa.table([table.column("p").slice(0, 1), table.column("s").slice(0, 1), pa.array([min(per, n - p * per)], pa.int32()), *raw], names=["p", "s", "size", "at", "of", "t"])
+
+    tiles = entries.groupBy("p", "s").applyInArrow(tile, "p int, s int, size int, at binary, of binary, t binary")
+    tiles = tiles.repartition(max(1, -(-n // per)), "p").sortWithinPartitions("p", "s")
+    return materialise(tiles), materialise(blocks)
+
+
+def _times(tiles: DataFrame, blocks: DataFrame, width: int, slabs: int) -> DataFrame:
+    """(p, mat): the product of the matrix with the ``width`` columns of ``blocks``.
+
+    A task reads a slab of the vectors from where they are written and keeps the sums of one block of nodes at a time, so vectors are not
+    shuffled, and partial sums only where there are several slabs."""
+    side = blocks.select(F.col("p").alias("_s"), "mat").coalesce(slabs)
+    met = tiles.join(side.hint("shuffle_replicate_nl"), F.col("s") == F.col("_s")).select("p", "size", "at", "of", "t", "mat")
+
+    def multiply(batches: Iterator) -> Iterator:
         import numpy as np
-        import pandas as pd
-
-        total = np.zeros((width, width))
-        for pdf in frames:
-            if len(pdf):
-                m = np.stack(pdf[column].to_numpy())
-                total += m.T @ m
-        yield pd.DataFrame({"i": np.arange(width), "row": list(total)})
-
-    parts = df.select(column).mapInPandas(partial, "i int, row array<double>")
-    cells = parts.select("i", F.posexplode("row").alias("j", "g")).groupBy("i", "j").agg(F.sum("g").alias("g"))
-    out = np.zeros((width, width))
-    for i, j, g in cells.collect():  # width squared rows
-        out[i, j] = g
+        import pyarrow as pa
+
+        home, total = None, None
+        told = lambda: pa.record_batch([pa.array([home], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["p", "mat"])
+        for batch in batches:
+            read = lambda name, row, kind: np.frombuffer(batch.column(name)[row].as_buffer(), kind)  # noqa: B023, E731
+            for row, p in enumerate(batch.column("p").to_pylist()):
+                if p != home:
+                    if home is not None:
+                        yield told()
+                    home, total = p, np.zeros((batch.column("size")[row].as_py(), width))
+                at, of, t = read("at", row, np.int32), read("of", row, np.int32), read("t", row, float)
+                mat = read("mat", row, float).reshape(-1, width)
+                for begin in range(0, len(at), ENTRIES_AT_ONCE):
+                    some = slice(begin, begin + ENTRIES_AT_ONCE)
+                    head = np.flatnonzero(np.r_[True, at[some][1:] != at[some][:-1]])
+                    total[at[some][head]] += np.add.reduceat(t[some, None] * mat[of[some]], head)
+        if home is not None:
+            yield told()
+
+    found = materialise(met.mapInArrow(multiply, "p int, mat binary"))
+    if found.count() == blocks.count():
+        return found
+    return materialise(_side_by_side([(found, None)], width))  # parts of a block from several slabs, or a file read in pieces
+
+
+def _side_by_side(tables: list[tuple[DataFrame, object]], width: int) -> DataFrame:
+    """(p, mat): of every block the sum of its rows, each times the small matrix that goes with its table; None leaves it."""
+    import numpy as np
+    import pyarrow as pa
+
+    small = [matrix for _, matrix in tables]
+
+    def add(table: pa.Table) -> pa.Table:
+        total = 0.0
+        for i, raw in zip(table.column("_of").to_pylist(), table.column("mat")):
+            mat = np.frombuffer(raw.as_buffer()).reshape(-1, width)
+            total = total + (mat if small[i] is None else mat @ small[i])
+        return pa.table({"p": table.column("p").slice(0, 1), "mat": pa.array([np.ascontiguousarray(total).tobytes()], pa.binary())})
+
+    rows = [df.select("p", F.lit(i).alias("_of"), "mat") for i, (df, _) in enumerate(tables)]
+    return reduce(DataFrame.unionByName, rows).groupBy("p").applyInArrow(add, "p int, mat binary")
+
+
+def _gram(tables: list[DataFrame], width: int):
+    """Cross-products of the columns of all ``tables`` (p, mat) side by side, summed by Spark, as a numpy array."""
+    import numpy as np
+    import pyarrow as pa
+
+    wide = width * len(tables)
+
+    def partial(table: pa.Table) -> pa.Table:
+        order = np.argsort(np.asarray(table.column("_of")))
+        m = np.column_stack([np.frombuffer(table.column("mat")[int(i)].as_buffer()).reshape(-1, width) for i in order])
+        return pa.table({"data": pa.array([(m.T @ m).tobytes()], pa.binary())})
+
+    def add(batches: Iterator) -> Iterator:
+        total = np.zeros(wide * wide)
+        for batch in batches:
+            for raw in batch.column("data"):
+                total += np.frombuffer(raw.as_buffer())
+        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["data"])
+
+    rows = [df.select("p", F.lit(i).alias("_of"), "mat") for i, df in enumerate(tables)]
+    parts = reduce(DataFrame.unionByName, rows).groupBy("p").applyInArrow(partial, "data binary")
+    few = parts.coalesce(parts.sparkSession.sparkContext.defaultParallelism).mapInArrow(add, "data binary")  # a square for each task
+    out = sum(np.frombuffer(r[0]) for r in few.collect()).reshape(wide, wide)
     return (out + out.T) / 2
 
 
-def _combine(df: DataFrame, parts: dict[str, tuple[str, object]], keep: list[str]) -> DataFrame:
-    """Multiply array columns by small matrices: ``parts`` maps output name to (column, matrix)."""
-    kinds = [f"{c} {df.schema[c].dataType.simpleString()}" for c in keep]
+def _unpacked(blocks: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(node, v) from blocks."""
+    kind = ids.schema["ids"].dataType.elementType.simpleString()
 
-    def apply(frames: Iterator):
+    def rows(batches: Iterator) -> Iterator:
         import numpy as np
+        import pyarrow as pa
 
-        for pdf in frames:
-            out = pdf[keep].copy()
-            for name, (column, matrix) in parts.items():
-                m = np.stack(pdf[column].to_numpy()) @ matrix if len(pdf) else np.empty((0, matrix.shape[1]))
-                out[name] = list(m)
-            yield out
+        for batch in batches:
+            for i in range(batch.num_rows):
+                flat = np.frombuffer(batch.column("mat")[i].as_buffer())
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width), pa.int32()), pa.array(flat))
+                yield pa.record_batch([batch.column("ids")[i].values, lists], names=["node", "v"])
 
-    return df.mapInPandas(apply, ", ".join([*kinds, *[f"{name} array<double>" for name in parts]]))
+    return blocks.join(ids.select("p", "ids"), "p").select("ids", "mat").mapInArrow(rows, f"node {kind}, v array<double>")
 
 
 def diffusion_map(edges: DataFrame, n: int = 20, steps: int = 5, restarts: int = 8, tolerance: float = 1e-4):
     """Top ``n`` eigenpairs of the transition matrix: (cell_id, vec) and (idx, eigenvalue).
 
-    Block Krylov iteration: each step is one edge join and aggregate; the small projected problem is solved from
+    Block Krylov iteration: each step is one product of written tiles and blocks; the small projected problem is solved from
     cross-products that Spark sums.  Restarts from the best vectors until the residuals are below ``tolerance``.
     Signs: the largest component of a vector is positive.
     """
@@ -308,17 +414,17 @@ def diffusion_map(edges: DataFrame, n: int = 20, steps: int = 5, restarts: int =
     m = min(n + 5, size)
     steps = max(1, min(steps, size // m))
     noise = [(F.xxhash64("node", F.lit(i)) / float(1 << 63)).alias(f"_{i}") for i in range(m)]
-    start = rows.select(F.col("dst").alias("node"), F.array(*noise).alias("v"))
-    values, vectors = None, None
+    nodes = rows.withColumnRenamed("dst", "node")
+    tiles, blocks = _in_tiles(t, nodes.select("node", F.array(*noise).alias("v"), "_rows"), hot)
+    slabs = max(1, -(-8 * size * m // SLAB_BYTES))
+    start, values = blocks, None
     for _ in range(max(1, restarts)):
-        # v holds the blocks V, TV, ..., T^steps V side by side
-        chain = start
-        for step in range(steps):
-            last = chain.select("node", F.slice("v", step * m + 1, m).alias("v"))
-            image = spread(t, last, m, rows, hot)
-            chain = materialise(chain.join(image, "node").select("node", F.concat("v", "y").alias("v")))
+        # V, TV, ..., T^steps V
+        chain = [start]
+        for _ in range(steps):
+            chain.append(_times(tiles, chain[-1], m, slabs))
         width = m * steps
-        both = _gram(chain, "v", width + m)
+        both = _gram(chain, m)
         # scale the columns before looking for directions
         size_of = np.sqrt(np.maximum(np.diag(both), 1e-300))
         g, h, yy = both[:width, :width], both[:width, m:], both[m:, m:]
@@ -332,14 +438,15 @@ def diffusion_map(edges: DataFrame, n: int = 20, steps: int = 5, restarts: int =
         lam, vec = lam[top], white @ vec[:, top]
         resid = np.einsum("ij,ij->j", vec, yy @ vec) - 2 * lam * np.einsum("ij,ij->j", vec, h @ vec) + lam**2
         resid = np.sqrt(np.maximum(resid, 0))
-        vectors = materialise(_combine(chain, {"v": ("v", np.vstack([vec, np.zeros((m, vec.shape[1]))]))}, ["node"]))
-        values, start = lam, vectors
+        start = materialise(_side_by_side([(block, vec[i * m : (i + 1) * m]) for i, block in enumerate(chain[:-1])], m))
+        values = lam
         if resid[:n].max() < tolerance or len(lam) < m:
             break
     width = len(values)
+    vectors = materialise(_unpacked(start, blocks, width))
     ends = vectors.agg(*[F.max_by(F.col("v")[i], F.abs(F.col("v")[i])).alias(f"_{i}") for i in range(width)]).first()
-    sign = np.diag([1.0 if e >= 0 else -1.0 for e in ends])[:, :n]
-    emb = _combine(vectors, {"vec": ("v", sign)}, ["node"]).withColumnRenamed("node", "cell_id")
+    signed = F.array(*[F.col("v")[i] * (1.0 if ends[i] >= 0 else -1.0) for i in range(min(n, width))])
+    emb = vectors.select(F.col("node").alias("cell_id"), signed.alias("vec"))
     table = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values[:n])], "idx int, eigenvalue double")
     return emb, table
 
