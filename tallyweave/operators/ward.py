@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType, LongType, StringType
 
 from .neighbors import knn
 from .scale import global_position, join_hot, materialise, require
 
+TASK_GROUPS, TASK_BYTES, TASK_EDGES = 1 << 15, 1 << 26, 1 << 20
+"""Groups, bytes of their sums and edges between them that one task may hold; with no more, it goes through all further rounds by itself."""
+
 
 def ward_tree(emb: DataFrame, neighbours: int = 15) -> DataFrame:
     """(hi, lo, h, round): the group named ``hi`` went into the one named ``lo`` at height ``h``; a group bears its least cell id.
@@ -19,7 +26,8 @@ def ward_tree(emb: DataFrame, neighbours: int = 15) -> DataFrame:
     are neighbours; with fewer a merge can cost less than those inside it, and then takes their height.  Ties go by a hash of the
     pair, so that a lattice of equal costs does not merge one pair a round.  Where the graph falls apart, the means of what is
     left are searched for neighbours in turn.  Equal vectors merge first, in round 0 at height 0.  Only edges at a group that
-    has just merged have their cost computed anew.
+    has just merged have their cost computed anew.  A round is a few jobs on written tables until what is left fits one task
+    (``TASK_GROUPS``); that one makes the same rounds, so that many small ones late cost no jobs.
     """
     require(emb, "cell_id", "vec")
     if neighbours < 1:
@@ -29,13 +37,24 @@ def ward_tree(emb: DataFrame, neighbours: int = 15) -> DataFrame:
     groups = distinct.select("id", F.col("n").cast("double").alias("n"), F.transform("vec", lambda v: v * F.col("n")).alias("s"), F.lit(0.0).alias("h"))
     copies = join_hot(points, distinct, ["vec"], "n").where("cell_id <> id")
     log = [materialise(copies.select(F.col("cell_id").alias("hi"), F.col("id").alias("lo"), F.lit(0.0).alias("h"), F.lit(0).alias("round")))]
-    left, edges = distinct.count(), None
+    odd = F.exists("vec", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) > 1e100))
+    left, narrow, wide, some_odd = distinct.agg(F.count(F.lit(1)), F.min(F.size("vec")), F.max(F.size("vec")), F.max(odd)).first()
+    plain = narrow == wide and not some_odd and isinstance(emb.schema["cell_id"].dataType, (IntegerType, LongType, StringType))
+    edges, rounds = None, 0
     while left > 1:
         if edges is None:
             edges = _mean_edges(groups, min(neighbours, left - 1))
+        if plain and left <= TASK_GROUPS and 8 * left * wide <= TASK_BYTES and edges.count() <= TASK_EDGES:
+            done = materialise(_in_one_task(groups, edges, rounds))
+            log.append(done.where("round IS NOT NULL").select("hi", F.col("id").alias("lo"), "h", "round"))
+            groups, edges = done.where("round IS NULL").select("id", "n", "s", "h"), None
+            left, last = done.agg(F.count_if(F.col("round").isNull()), F.max("round")).first()
+            rounds = last or rounds
+            continue
+        rounds += 1
         moved = materialise(_agreed(edges))
         grown = materialise(_merge(groups, moved))
-        log.append(grown.where("hi IS NOT NULL").select("hi", F.col("id").alias("lo"), "h", F.lit(len(log)).alias("round")))
+        log.append(grown.where("hi IS NOT NULL").select("hi", F.col("id").alias("lo"), "h", F.lit(rounds).alias("round")))
         edges = materialise(_carry(edges, moved, grown))
         groups, left = grown.select("id", "n", "s", "h"), grown.count()
         if not edges.take(1):
@@ -118,3 +137,142 @@ def _carry(edges: DataFrame, moved: DataFrame, grown: DataFrame) -> DataFrame:
     both = join_hot(join_hot(edges, one, ["lo"], "rows"), two, ["hi"], "rows").where("a <> b")
     both = both.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"), "d", (F.col("j1") | F.col("j2")).alias("anew"))
     return both.where("NOT anew").select("lo", "hi", "d").unionByName(_priced(both.where("anew").select("lo", "hi").distinct(), grown))
+
+
+def _in_one_task(groups: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:
+    """(id, hi, n, s, h, round): the merges of all rounds while there are edges, and with no round the groups that are left."""
+    kind = groups.schema["id"].dataType
+
+    def run(mine: pa.Table, pairs: pa.Table) -> pa.Table:
+        order = pc.sort_indices(mine.column("id"))
+        mine = mine.take(order)
+        ids = mine.column("id").combine_chunks()
+        n, h = np.asarray(mine.column("n")).copy(), np.asarray(mine.column("h")).copy()
+        s = np.asarray(mine.column("s").combine_chunks().flatten()).astype(float).reshape(len(n), -1)
+        lo, hi = (np.asarray(pc.index_in(pairs.column(c).combine_chunks(), ids)).astype(np.int64) for c in ("lo", "hi"))
+        gone, into, high, when, alive = _rounds(n, s, h, lo, hi, np.asarray(pairs.column("d")).copy(), _pair_hash(ids, kind))
+        kept = np.flatnonzero(alive)
+        whole = lambda values, none: pa.array(np.concatenate(values), mask=np.concatenate([np.full(len(v), x) for v, x in zip(values, none)]))
+        return pa.table({
+            "id": pa.concat_arrays([ids.take(pa.array(into)), ids.take(pa.array(kept))]),
+            "hi": pa.concat_arrays([ids.take(pa.array(gone)), pa.nulls(len(kept), ids.type)]),
+            "n": whole([np.zeros(len(into)), n[kept]], [True, False]),
+            "s": pa.concat_arrays([pa.nulls(len(into), pa.list_(pa.float64())), pa.array(list(s[kept]), pa.list_(pa.float64()))]),
+            "h": np.concatenate([high, h[kept]]),
+            "round": whole([(when + rounds).astype(np.int32), np.zeros(len(kept), np.int32)], [False, True]),
+        })
+
+    one = F.lit(0).alias("_all")
+    both = groups.select(one, "id", "n", "s", "h").groupBy("_all").cogroup(edges.select(one, "lo", "hi", "d").groupBy("_all"))
+    id_kind = kind.simpleString()
+    return both.applyInArrow(run, f"id {id_kind}, hi {id_kind}, n double, s array<double>, h double, round int")
+
+
+def _rounds(n: np.ndarray, s: np.ndarray, h: np.ndarray, lo: np.ndarray, hi: np.ndarray, d: np.ndarray, tie) -> tuple[np.ndarray, ...]:
+    """(hi, lo, height, round) of every merge and which groups are left, by the rules of :func:`_agreed`, :func:`_merge` and :func:`_carry`; n, s and h are brought up to date."""
+    alive, found, turn = np.ones(len(n), bool), [], 0
+    at = np.arange(len(n))
+    while len(lo):
+        turn += 1
+        least = np.full(len(n), np.inf)
+        np.minimum.at(least, lo, d)
+        np.minimum.at(least, hi, d)
+        best = np.full(len(n), -1)
+        close = np.flatnonzero((d == least[lo]) | (d == least[hi]))
+        for end in (lo, hi):
+            mine = close[d[close] == least[end[close]]]
+            best[end[mine]] = mine
+        equal = np.bincount(lo[close], d[close] == least[lo[close]], len(n)) + np.bincount(hi[close], d[close] == least[hi[close]], len(n)) > 1
+        if equal.any():
+            some = close[equal[lo[close]] | equal[hi[close]]]
+            some = some[np.lexsort((hi[some], lo[some], tie(lo[some], hi[some])))][::-1]  # of several, what is set last stays
+            ends, some = np.column_stack([lo[some], hi[some]]).ravel(), np.repeat(some, 2)
+            mine = equal[ends] & (d[some] == least[ends])
+            best[ends[mine]] = some[mine]
+        joined = close[(best[lo[close]] == close) & (best[hi[close]] == close)]
+        a, b = lo[joined], hi[joined]
+        h[a] = np.maximum(np.maximum(h[a], h[b]), d[joined])
+        n[a] += n[b]
+        s[a] += s[b]
+        alive[b] = False
+        found.append((b, a, h[a], np.full(len(a), turn)))
+        to = at.copy()
+        to[b] = a
+        grew = np.zeros(len(n), bool)
+        grew[a] = True
+        p, q = to[lo], to[hi]
+        inside = p == q
+        anew = (grew[p] | grew[q]) & ~inside
+        key = np.unique(np.minimum(p, q)[anew] * len(n) + np.maximum(p, q)[anew])
+        first, second = key // len(n), key % len(n)
+        same = ~anew & ~inside
+        lo, hi, d = np.concatenate([lo[same], first]), np.concatenate([hi[same], second]), np.concatenate([d[same], _prices(n, s, first, second)])
+    merges = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
+    return *merges, alive
+
+
+def _prices(n: np.ndarray, s: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Cost of merging each pair, added up in the order of :func:`_priced`."""
+    out = np.zeros(len(one))
+    for begin in range(0, len(one), 1 << 16):
+        i, j = one[begin : begin + (1 << 16)], two[begin : begin + (1 << 16)]
+        n1, n2 = n[i], n[j]
+        steps = (s[i] / n1[:, None] - s[j] / n2[:, None]) ** 2
+        out[begin : begin + (1 << 16)] = n1 * n2 / (n1 + n2) * (np.cumsum(steps, axis=1)[:, -1] if steps.shape[1] else 0.0)
+    return out
+
+
+P1, P2, P3, P4, P5 = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5
+WORD = (1 << 64) - 1
+
+
+def _pair_hash(ids: pa.Array, kind):
+    """``tie(lo, hi)`` of places in ``ids``: what Spark's xxhash64 gives for the two ids."""
+    turned = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
+
+    def mixed(x: np.ndarray) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(P2)
+        x = (x ^ (x >> np.uint64(29))) * np.uint64(P3)
+        return x ^ (x >> np.uint64(32))
+
+    def whole(v: np.ndarray, seed) -> np.ndarray:
+        if isinstance(kind, LongType):
+            x = (seed + np.uint64((P5 + 8) & WORD)) ^ (turned(v * np.uint64(P2), 31) * np.uint64(P1))
+            return mixed(turned(x, 27) * np.uint64(P1) + np.uint64(P4))
+        x = (seed + np.uint64((P5 + 4) & WORD)) ^ ((v & np.uint64(0xFFFFFFFF)) * np.uint64(P1))
+        return mixed(turned(x, 23) * np.uint64(P2) + np.uint64(P3))
+
+    if isinstance(kind, StringType):
+        names = [x.encode() for x in ids.to_pylist()]
+        return lambda lo, hi: np.array([_bytes_hash(names[j], _bytes_hash(names[i], 42)) for i, j in zip(lo, hi)], np.uint64).view(np.int64)
+    v = np.asarray(ids).astype(np.int64).view(np.uint64)
+    return lambda lo, hi: whole(v[hi], whole(v[lo], np.uint64(42))).view(np.int64)
+
+
+def _bytes_hash(data: bytes, seed: int) -> int:
+    """XXH64."""
+    turned = lambda x, r: ((x << r) | (x >> (64 - r))) & WORD
+    lane = lambda x, v: turned((x + v * P2) & WORD, 31) * P1 & WORD
+    at, size = 0, len(data)
+    if size >= 32:
+        parts = [(seed + P1 + P2) & WORD, (seed + P2) & WORD, seed, (seed - P1) & WORD]
+        while at + 32 <= size:
+            parts = [lane(x, int.from_bytes(data[at + 8 * i : at + 8 * i + 8], "little")) for i, x in enumerate(parts)]
+            at += 32
+        x = sum(turned(v, r) for v, r in zip(parts, (1, 7, 12, 18))) & WORD
+        for v in parts:
+            x = ((x ^ lane(0, v)) * P1 + P4) & WORD
+    else:
+        x = (seed + P5) & WORD
+    x = (x + size) & WORD
+    for at in range(at, size - 7, 8):
+        x = (turned(x ^ lane(0, int.from_bytes(data[at : at + 8], "little")), 27) * P1 + P4) & WORD
+    at = size - size % 8
+    if at + 4 <= size:
+        x = (turned(x ^ (int.from_bytes(data[at : at + 4], "little") * P1 & WORD), 23) * P2 + P3) & WORD
+        at += 4
+    for v in data[at:]:
+        x = turned(x ^ (v * P5 & WORD), 11) * P1 & WORD
+    x = ((x ^ (x >> 33)) * P2) & WORD
+    x = ((x ^ (x >> 29)) * P3) & WORD
+    return x ^ (x >> 32)

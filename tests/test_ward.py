@@ -58,3 +58,36 @@ def test_no_cells_and_wrong_sizes(spark):
     assert ward.cut_tree(none, tree, 3).count() == 0
     with pytest.raises(ValueError):
         ward.cut_tree(none, tree, 0)
+
+
+@pytest.mark.parametrize("name", [int, "cell_{}_of_a_donor_with_a_long_name".format, "c{}".format])
+def test_one_task_makes_the_rounds_of_the_jobs(spark, monkeypatch, name):
+    rng = np.random.default_rng(5)
+    lattice = np.array([(i, j) for i in range(7) for j in range(7)], float)  # equal costs, so ties count
+    x = np.concatenate([lattice, rng.normal(size=(40, 2)) * 3, rng.normal(size=(12, 2)) + 500, lattice[:4]])
+    kind = "long" if name is int else "string"
+    emb = spark.createDataFrame([(name(i), [float(v) for v in row]) for i, row in enumerate(x)], f"cell_id {kind}, vec array<double>")
+    rows = lambda: sorted(map(tuple, ward.ward_tree(emb, 4).select("hi", "lo", "h", "round").collect()))
+    made, plain = [], ward.materialise
+    monkeypatch.setattr(ward, "materialise", lambda df: made.append(1) or plain(df))
+    one = rows()
+    few = len(made)
+    monkeypatch.setattr(ward, "TASK_GROUPS", 30)
+    assert rows() == one  # jobs first, one task for the rest
+    made.clear()
+    monkeypatch.setattr(ward, "TASK_GROUPS", 0)
+    assert rows() == one and len(made) > 2 * few
+
+
+def test_pair_hash_is_the_one_of_the_engine(spark):
+    import pyarrow as pa
+
+    pairs = [(0, 1), (-5, 7), (1 << 40, -(1 << 62))]
+    names = ["", "a", "abcd", "é" * 5, "x" * 31, "y" * 32, "z" * 77]
+    cases = [("long", pairs), ("int", [(0, 1), (-5, 7)]), ("string", [(a, b) for a in names for b in names])]
+    for kind, both in cases:
+        df = spark.createDataFrame(both, f"lo {kind}, hi {kind}")
+        want = [r[0] for r in df.selectExpr("xxhash64(lo, hi)").collect()]
+        ids = pa.array([x for p in both for x in p], {"long": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind])
+        at = np.arange(len(both)) * 2
+        assert ward._pair_hash(ids, df.schema["lo"].dataType)(at, at + 1).tolist() == want
