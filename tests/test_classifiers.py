@@ -2,9 +2,14 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import LinearSVC, OneVsRest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
-from tallyweave.operators import learn, markers, qc
+from tallyweave.operators import hinge, learn, markers, qc
+from tallyweave.operators.scale import materialise
 
 
 @pytest.fixture(scope="module")
@@ -47,3 +52,44 @@ def test_doublets_of_unlike_cells_are_told_from_singlets(planted):
     # a third of all pairs join cells of one kind
     assert accuracy(report) >= 0.7
     assert {r["actual"] for r in report.select("actual").distinct().collect()} == {"Singlet", "Doublet"}
+
+
+def vectors(spark, flat):
+    """(features vector, class 0 to 2) of 900 rows; with ``flat`` nearly all are equal.  One feature is constant."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 8))
+    x[:, 4] = 0.25
+    if flat:
+        x[rng.random(900) < 0.95] = 0.1
+    kind = (x[:, 0] + 0.3 * rng.normal(size=900) > 0.4).astype(int) + (x[:, 1] > 1)
+    rows = spark.createDataFrame([(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, kind))], "cell_id long, x array<double>, c int")
+    return materialise(rows.select("cell_id", array_to_vector("x").alias("waves"), F.col("c").cast("double").alias("target")).repartition(4, "cell_id"))
+
+
+@pytest.mark.parametrize("flat", [False, True])
+def test_machines_in_shared_passes_are_those_of_linear_svc(spark, monkeypatch, flat):
+    df = vectors(spark, flat)
+    passes, plain = [], hinge._measured
+    monkeypatch.setattr(hinge, "_measured", lambda *a: passes.append(1) or plain(*a))
+    equal = df.groupBy("waves", "target").agg(F.count(F.lit(1)).cast("double").alias("times")).withColumn("fold", F.lit(0))
+    tiles = hinge.pack(equal, "waves", "target", "fold", "times")
+    got = hinge.fit_machines(tiles, [(c, -1, 1e-4) for c in range(3)], 8)
+    assert len(passes) <= 40  # one by one the searches of a class alone measure up to 400 points
+    for c in range(3):
+        svm = LinearSVC(featuresCol="waves", labelCol="y", maxIter=20, standardization=False, regParam=1e-4)
+        want = svm.fit(df.withColumn("y", (F.col("target") == c).cast("double")))
+        assert np.allclose(got[c][0], want.coefficients.toArray(), atol=1e-6) and abs(got[c][1] - want.intercept) < 1e-6
+
+
+def test_costs_are_judged_as_by_cross_validation(spark):
+    df = vectors(spark, False)
+    many = OneVsRest(classifier=(svm := LinearSVC(featuresCol="waves", labelCol="target", maxIter=20, standardization=False)), featuresCol="waves", labelCol="target")
+    grid = ParamGridBuilder().addGrid(svm.regParam, [1e-4, 0.3]).build()
+    judge = MulticlassClassificationEvaluator(labelCol="target", metricName="accuracy")
+    want = CrossValidator(estimator=many, estimatorParamMaps=grid, evaluator=judge, numFolds=3, seed=5).fit(df).avgMetrics
+    draw = F.col("draw")
+    folds = df.withColumn("draw", F.rand(5)).withColumns({"fold": (draw >= 1 / 3).cast("int") + (draw >= 2 / 3).cast("int"), "one": F.lit(1.0)})
+    tiles = hinge.pack(folds, "waves", "target", "fold", "one")
+    tried = [(c, f, r) for r in (1e-4, 0.3) for f in range(3) for c in range(3)]
+    right = hinge.right_shares(tiles, tried, hinge.fit_machines(tiles, tried, 8, 3), 3)
+    assert np.allclose([np.mean([right[f, r] for f in range(3)]) for r in (1e-4, 0.3)], want, atol=1e-9)
