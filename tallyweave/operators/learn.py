@@ -135,7 +135,7 @@ def train_classifier(
         tiles = pack(shown(with_vector(some)).withColumn("fold", F.lit(0)), "waves", "target", "fold", "times")
     fitted = fit_machines(tiles, [(c, -1, penalty) for c in classes], size, folds if len(cost) > 1 else 1)
     svm = LinearSVC(featuresCol="waves", labelCol="target", maxIter=20, standardization=False, regParam=penalty)
-    many = OneVsRest(classifier=svm, featuresCol="waves", labelCol="target", predictionCol="prediction")
+    many = OneVsRest(classifier=svm, featuresCol="waves", labelCol="target", predictionCol="prediction", parallelism=1)
     machine = many._copyValues(OneVsRestModel(models=[linear_machine(svm, *m) for m in fitted]))
     back = IndexToString(inputCol="prediction", outputCol="predicted", labels=names.labels)
     model = PipelineModel([reduce, first, wave, machine, back])
